@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskgraph.session import materialise
+from riskgraph.session import materialise, materialise_with
 
 # A side is broadcast only after it has been counted and found no longer than this.
 BROADCAST_ROWS = 200_000
@@ -39,8 +39,8 @@ def attach(
     broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     if right_rows is None:
-        right = materialise(right)
-        right_rows = right.count()
+        right, seen = materialise_with(right)
+        right_rows = seen["rows"]
     if right_rows <= broadcast_rows:
         return left.join(F.broadcast(right), keys, how)
     counts = (

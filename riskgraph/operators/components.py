@@ -13,42 +13,43 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.skew import attach
 from riskgraph.operators.sharing import uses
-from riskgraph.session import materialise
+from riskgraph.session import materialise, materialise_with
 
 
 def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, root) of every vertex of an edge table; the root is any one vertex of its component."""
-    pairs = materialise(
+    pairs, seen = materialise_with(
         edges.select(F.col(left).alias("a"), F.col(right).alias("b")).where("a <> b").distinct()
     )
-    renames: list[DataFrame] = []
+    renames: list[tuple[DataFrame, int]] = []
     round_no = 0
-    while not pairs.isEmpty():
+    while seen["rows"]:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         rank = F.xxhash64(F.col("b"), F.lit(round_no))
         mine = F.struct(F.xxhash64(F.col("a"), F.lit(round_no)).alias("h"), F.col("a").alias("v"))
-        chosen = materialise(
+        chosen, size = materialise_with(
             both.groupBy("a").agg(
                 F.min(F.struct(rank.alias("h"), F.col("b").alias("v"))).alias("_m"),
                 F.count(F.lit(1)).alias("_n"),
             ).select("a", F.least(F.col("_m"), mine)["v"].alias("r"), "_n")
         )
-        renames.append(chosen.select(F.col("a").alias("node"), F.col("r").alias("root")))
+        renames.append((chosen.select(F.col("a").alias("node"), F.col("r").alias("root")), size["rows"]))
         to_a = chosen.select("a", F.col("r").alias("ra"), "_n")
         to_b = chosen.select(F.col("a").alias("b"), F.col("r").alias("rb"), F.col("_n").alias("_m"))
-        renamed = attach(pairs, to_a, "a", weight="_n").drop("_n")
-        renamed = attach(renamed, to_b, "b", weight="_m").drop("_m")
-        pairs = materialise(
+        renamed = attach(pairs, to_a, "a", weight="_n", right_rows=size["rows"]).drop("_n")
+        renamed = attach(renamed, to_b, "b", weight="_m", right_rows=size["rows"]).drop("_m")
+        pairs, seen = materialise_with(
             renamed.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
             .where("a <> b").distinct()
         )
         round_no += 1
     if not renames:
         return edges.select(F.col(left).alias("node"), F.col(left).alias("root")).limit(0)
-    roots = renames[-1]
-    for earlier in reversed(renames[:-1]):
+    roots, rows = renames[-1]
+    for earlier, earlier_rows in reversed(renames[:-1]):
         later = roots.select(F.col("node").alias("root"), F.col("root").alias("_final"))
-        roots = attach(earlier, later, "root").select("node", F.coalesce("_final", "root").alias("root"))
+        roots = attach(earlier, later, "root", right_rows=rows).select("node", F.coalesce("_final", "root").alias("root"))
+        rows = earlier_rows
     return roots
 
 

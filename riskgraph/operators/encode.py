@@ -11,7 +11,7 @@ from riskgraph.functions import skew
 from riskgraph.functions.order import with_row_position
 from riskgraph.functions.skew import attach
 from riskgraph.schemas import MODEL_FEATURES, NOT_FEATURES
-from riskgraph.session import materialise
+from riskgraph.session import materialise, materialise_with
 
 
 def first_seen_codes(df: DataFrame, columns: Sequence[str], order: str = "_seq") -> tuple[DataFrame, int]:
@@ -22,11 +22,11 @@ def first_seen_codes(df: DataFrame, columns: Sequence[str], order: str = "_seq")
     short is numbered in a window, a long one is sorted in parallel.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("category")) for c in columns])
-    seen = materialise(
+    seen, size = materialise_with(
         df.select(F.explode(pairs).alias("e"), F.col(order).alias("_o")).where("e.category is not null")
         .groupBy("e.name", "e.category").agg(F.min("_o").alias("_first"), F.count(F.lit(1)).alias("n"))
     )
-    rows = seen.count()
+    rows = size["rows"]
     if rows <= skew.BROADCAST_ROWS:
         by_name = Window.partitionBy("name").orderBy("_first", "category")
         coded = materialise(seen.withColumn("code", F.row_number().over(by_name) - 1))

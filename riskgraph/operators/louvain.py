@@ -6,43 +6,50 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.skew import attach
 from riskgraph.operators.sharing import uses
-from riskgraph.session import materialise
+from riskgraph.session import materialise, materialise_with
 
 # Most sweeps over the two halves per level, and most levels.
-SWEEPS, LEVELS = 8, 8
+SWEEPS, LEVELS = 10, 10
+# A sweep that gains less than this ends its level.
+TOLERANCE = 1e-4
 
 
-def modularity(edges: DataFrame, labels: DataFrame) -> float:
+def modularity(edges: DataFrame, labels: DataFrame, nodes: int | None = None) -> float:
     """Modularity of `labels(node, c)` on undirected `edges(a, b, w)`; a loop a = b counts its weight twice."""
-    ends = attach(attach(edges, labels.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a"),
-                  labels.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
-    m = edges.agg(F.sum("w")).first()[0] or 0.0
-    if not m:
-        return 0.0
-    inside = F.sum(F.when(F.col("ca") == F.col("cb"), F.col("w")).otherwise(0.0))
-    halves = ends.select(F.col("ca").alias("c"), "w").unionByName(ends.select(F.col("cb").alias("c"), "w"))
-    within = ends.agg(inside).first()[0] / m
-    spread = halves.groupBy("c").agg(F.sum("w").alias("d")).agg(F.sum(F.pow(F.col("d") / (2 * m), F.lit(2)))).first()[0]
-    return within - spread
+    first = labels.select(F.col("node").alias("a"), F.col("c").alias("ca"))
+    second = labels.select(F.col("node").alias("b"), F.col("c").alias("cb"))
+    ends = attach(attach(edges, first, "a", right_rows=nodes), second, "b", right_rows=nodes)
+    inside = F.when(F.col("ca") == F.col("cb"), F.col("w")).otherwise(0.0)
+    halves = ends.select(F.explode(F.array(
+        F.struct(F.col("ca").alias("c"), "w", inside.alias("i")), F.struct(F.col("cb").alias("c"), "w", F.lit(0.0).alias("i"))
+    )).alias("e")).select("e.*")
+    total, within, squares = halves.groupBy("c").agg(F.sum("w").alias("d"), F.sum("i").alias("i")).agg(
+        F.sum("d"), F.sum("i"), F.sum(F.col("d") * F.col("d"))
+    ).first()
+    return 2 * within / total - squares / (total * total) if total else 0.0
 
 
-def _sweep(both: DataFrame, labels: DataFrame, degree: DataFrame, m: float, half: int, turn: int) -> DataFrame:
+def _sweep(both: DataFrame, labels: DataFrame, degree: DataFrame, m: float, turn: int, nodes: int) -> DataFrame:
     """Move the nodes of one half to the neighbouring community with the best gain."""
-    known = labels.join(degree, "node")
+    known = attach(labels, degree, "node", right_rows=nodes)
     totals = known.groupBy("c").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("_n"))
-    movers = known.where(F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == half)
+    half = F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == turn % 2
+    movers = known.where(half).select("node", F.col("c").alias("own"), "k")
     neighbour = labels.select(F.col("node").alias("b"), F.col("c").alias("nc"))
-    links = attach(both.where("a <> b"), neighbour, "b").groupBy(F.col("a").alias("node"), "nc").agg(F.sum("w").alias("kin"))
-    options = attach(links, movers.select("node", F.col("c").alias("own"), "k"), "node", how="inner")
-    stay = movers.select("node", F.col("c").alias("nc"), F.lit(0.0).alias("kin"), F.col("c").alias("own"), "k")
+    links = attach(both.where("a <> b"), neighbour, "b", right_rows=nodes)
+    links = links.groupBy(F.col("a").alias("node"), "nc").agg(F.sum("w").alias("kin"))
+    options = attach(links, movers, "node", how="inner", right_rows=nodes)
+    stay = movers.select("node", F.col("own").alias("nc"), F.lit(0.0).alias("kin"), "own", "k")
     options = options.unionByName(stay).groupBy("node", "nc", "own", "k").agg(F.sum("kin").alias("kin"))
-    priced = attach(options, totals.select(F.col("c").alias("nc"), "total"), "nc")
+    priced = attach(options, totals.select(F.col("c").alias("nc"), "total"), "nc", right_rows=nodes)
     rest = F.col("total") - F.when(F.col("nc") == F.col("own"), F.col("k")).otherwise(0.0)
     priced = priced.withColumn("gain", F.col("kin") - F.col("k") * rest / (2 * m))
-    # The own community wins a tie, then the smaller name.
+    # The own community wins a tie, then the larger name.
     rank = F.struct(F.round("gain", 9), (F.col("nc") == F.col("own")), F.col("nc"))
     best = priced.groupBy("node").agg(F.max_by("nc", rank).alias("nc"))
-    return labels.join(best, "node", "left").select("node", F.coalesce("nc", "c").alias("c"))
+    return attach(labels, best, "node", right_rows=nodes).select(
+        "node", F.coalesce("nc", "c").alias("c"), F.coalesce(F.col("nc") != F.col("c"), F.lit(False)).alias("moved")
+    )
 
 
 def louvain(df: DataFrame) -> DataFrame:
@@ -52,46 +59,48 @@ def louvain(df: DataFrame) -> DataFrame:
     once can oscillate), then communities become nodes, until modularity stops rising.
     """
     u = uses(df)
-    edges = materialise(u.select(
+    level_edges, size = materialise_with(u.select(
         F.concat(F.lit("a:"), "account_id").alias("a"), F.concat(F.lit("d:"), "device_id").alias("b"), F.lit(1.0).alias("w")
     ))
-    m = edges.agg(F.sum("w")).first()[0] or 0.0
-    ends = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-    membership = materialise(ends.select("node", F.col("node").alias("c")))
+    m = float(size["rows"])
+    everyone = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
     if not m:
-        return df.select("account_id").where(F.col("account_id").isNotNull()).distinct().select("account_id", F.col("account_id").alias("community_id"), F.lit(0.0).alias("modularity"))
-    level_edges, best = edges, modularity(edges, membership)
+        return everyone.select("account_id", F.col("account_id").alias("community_id"), F.lit(0.0).alias("modularity"))
+    membership, best = None, None
     for _ in range(LEVELS):
         both = level_edges.unionByName(level_edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
-        both = materialise(both)
-        degree = materialise(both.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")))
-        labels = materialise(degree.select("node", F.col("node").alias("c")))
-        level_best = modularity(level_edges, labels)
-        start = level_best
-        for turn in range(2 * SWEEPS):
-            moved = materialise(_sweep(both, labels, degree, m, turn % 2, turn))
-            value = modularity(level_edges, moved)
-            if value > level_best + 1e-9:
-                labels, level_best = moved, value
-            elif turn % 2 == 1:
+        degree, size = materialise_with(both.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")))
+        nodes = size["rows"]
+        labels = degree.select("node", F.col("node").alias("c"))
+        start = modularity(level_edges, labels, nodes)
+        if membership is None:
+            membership, best = labels, start
+        chosen, value, before = labels, start, start
+        for turn in range(0, 2 * SWEEPS, 2):
+            moves = 0
+            for half in (turn, turn + 1):
+                labels, seen = materialise_with(_sweep(both, labels, degree, m, half, nodes), n=F.count_if(F.col("moved")))
+                labels, moves = labels.drop("moved"), moves + seen["n"]
+            now = modularity(level_edges, labels, nodes)
+            if now > value + 1e-9:
+                chosen, value = labels, now
+            if not moves or now < before + TOLERANCE:
                 break
-        if level_best <= start + 1e-9:
+            before = now
+        if value <= start + 1e-9:
             break
-        best = level_best
-        step = labels.select(F.col("node").alias("c"), F.col("c").alias("_new"))
-        membership = materialise(attach(membership, step, "c").select("node", F.col("_new").alias("c")))
-        ends_a = attach(level_edges, labels.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a")
-        ends_b = attach(ends_a, labels.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b")
+        best = value
+        step = chosen.select(F.col("node").alias("c"), F.col("c").alias("_new"))
+        membership = materialise(attach(membership, step, "c", right_rows=nodes).select("node", F.col("_new").alias("c")))
+        ends = attach(level_edges, chosen.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a", right_rows=nodes)
+        ends = attach(ends, chosen.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b", right_rows=nodes)
         level_edges = materialise(
-            ends_b.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "w")
+            ends.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "w")
             .groupBy("a", "b").agg(F.sum("w").alias("w"))
         )
-    accounts = membership.where(F.col("node").startswith("a:")).select(
-        F.expr("substr(node, 3)").alias("account_id"), F.col("c")
-    )
+    accounts = membership.where(F.col("node").startswith("a:")).select(F.expr("substr(node, 3)").alias("account_id"), "c")
     names = accounts.groupBy("c").agg(F.min("account_id").alias("community_id"), F.count(F.lit(1)).alias("_n"))
     named = attach(accounts, names, "c", weight="_n").select("account_id", "community_id")
-    everyone = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
     return everyone.join(named, "account_id", "left").select(
         "account_id", F.coalesce("community_id", "account_id").alias("community_id"), F.lit(float(best)).alias("modularity")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskgraph.functions.rules import uniform
 from riskgraph.functions.skew import attach
 from riskgraph.operators.sharing import uses
-from riskgraph.session import materialise
+from riskgraph.session import materialise, materialise_with
 
 
 def betweenness(df: DataFrame, sample_share: float | None = None, seed: int = 42) -> DataFrame:
@@ -23,30 +23,31 @@ def betweenness(df: DataFrame, sample_share: float | None = None, seed: int = 42
     component sizes. `sample_share` searches from a fixed share of the accounts only
     and is an estimate; by default all accounts are sources.
     """
-    u = materialise(uses(df))
+    u, size = materialise_with(uses(df))
+    rows = size["rows"]
     of_account = u.withColumnRenamed("account_id", "node")
     of_device = u.withColumnRenamed("account_id", "next")
     accounts = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
     sources = u.select("account_id").distinct()
     if sample_share is not None:
         sources = sources.where(uniform(F.col("account_id"), F.lit(seed)) < sample_share)
-    level = materialise(sources.select(
+    level, seen = materialise_with(sources.select(
         F.col("account_id").alias("source"), F.col("account_id").alias("node"), F.lit(None).cast("string").alias("parent")
     ))
     levels: list[DataFrame] = []
     entered = None
-    while not level.isEmpty():
+    while seen["rows"]:
         levels.append(level)
-        reach = attach(level.select("source", "node"), of_account, "node", how="inner")
+        reach = attach(level.select("source", "node"), of_account, "node", how="inner", right_rows=rows)
         reach = reach.groupBy("source", "device_id").agg(F.max("node").alias("parent"))
         if entered is not None:
             # A device seen before was first entered exactly one level ago.
             reach = reach.join(entered.select("source", "device_id"), ["source", "device_id"], "left_anti")
         entered = materialise(reach)
-        found = attach(entered, of_device, "device_id", how="inner")
+        found = attach(entered, of_device, "device_id", how="inner", right_rows=rows)
         found = found.groupBy("source", F.col("next").alias("node")).agg(F.max("parent").alias("parent"))
         # Accounts of a newly entered device are either on this level or not yet seen.
-        level = materialise(found.join(level.select("source", "node"), ["source", "node"], "left_anti"))
+        level, seen = materialise_with(found.join(level.select("source", "node"), ["source", "node"], "left_anti"))
     totals = None
     below = None
     for level in reversed(levels[1:]):

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.operators.sharing import Sharing, sharing
-from riskgraph.session import materialise
-
-# Iterations that run as one job before convergence is looked at.
-STEPS_PER_JOB = 4
+from riskgraph.session import materialise, materialise_with
 
 
 def pagerank(
@@ -29,25 +26,17 @@ def pagerank(
     n = graph.accounts.count()
     if n == 0:
         return graph.accounts.withColumn("pagerank_score", F.lit(None).cast("double"))
-    degrees = materialise(graph.degrees().withColumnRenamed("connected_accounts", "_deg"))
-    state = degrees.withColumn("_pr0", F.lit(1.0 / n))
-    done = 0
-    while done < max_iter:
-        steps = min(STEPS_PER_JOB, max_iter - done)
-        for i in range(steps):
-            given = state.where("_deg > 0").select("account_id", (F.col(f"_pr{i}") / F.col("_deg")).alias("_give"))
-            got = graph.neighbour_sum(given, "_give", "_got")
-            state = state.join(got, "account_id", "left").withColumn(
-                f"_pr{i + 1}", F.lit((1 - alpha) / n) + F.lit(alpha) * F.coalesce("_got", F.lit(0.0))
-            ).drop("_got")
-        state = materialise(state)
-        moves = state.agg(*[
-            F.max(F.abs(F.col(f"_pr{i + 1}") - F.col(f"_pr{i}")) - (atol + rtol * F.abs(F.col(f"_pr{i}")))).alias(f"m{i}")
-            for i in range(steps)
-        ]).first()
-        for i in range(steps):
-            if moves[f"m{i}"] <= 0:
-                return state.select("account_id", F.col(f"_pr{i}").alias("pagerank_score"))
-        state = state.select("account_id", "_deg", F.col(f"_pr{steps}").alias("_pr0"))
-        done += steps
-    return state.select("account_id", F.col("_pr0").alias("pagerank_score"))
+    state = graph.neighbour_sum(graph.accounts.withColumn("_one", F.lit(1)), "_one", "_deg")
+    state = materialise(state.select("account_id", "_own", "_deg", F.lit(1.0 / n).alias("_pr")))
+    for _ in range(max_iter):
+        given = state.withColumn("_give", F.when(F.col("_deg") > 0, F.col("_pr") / F.col("_deg")).otherwise(F.lit(0.0)))
+        moved = graph.neighbour_sum(given, "_give", "_got").select(
+            "account_id", "_own", "_deg", F.col("_pr").alias("_before"),
+            (F.lit((1 - alpha) / n) + F.lit(alpha) * F.col("_got")).alias("_pr"),
+        )
+        excess = F.max(F.abs(F.col("_pr") - F.col("_before")) - (atol + rtol * F.abs(F.col("_before"))))
+        moved, seen = materialise_with(moved, excess=excess)
+        if seen["excess"] <= 0:
+            break
+        state = moved
+    return state.select("account_id", F.col("_pr").alias("pagerank_score"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskgraph.functions import skew
 from riskgraph.functions.skew import attach
-from riskgraph.session import materialise
+from riskgraph.session import materialise, materialise_with
 
 MAX_DEVICES = 5
 PROFILE_PART_ROWS = 10_000
@@ -80,50 +80,48 @@ def shared_device_edges(df: DataFrame) -> DataFrame:
 class Sharing:
     """Compressed neighbour relation.
 
-    accounts  account_id
-    groups    account_id, grp, sign, self_weight-free membership rows (grp has >= 2 accounts)
-    own       account_id, weight: how often an account meets itself through its groups
+    accounts  account_id, _own (how often an account meets itself through its groups)
+    groups    grp, account_id, sign, copies, salt: members of every group of >= 2 accounts
     listed    src, dst: explicit edges with a many-device account at either end
+    short     all of these were counted and are short enough to broadcast
     """
 
     accounts: DataFrame
     groups: DataFrame
-    own: DataFrame
     listed: DataFrame | None
+    short: bool
+
+    def _small(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.short else df
 
     def neighbour_sum(self, x: DataFrame, value: str, name: str) -> DataFrame:
-        """(account_id, name): sum of `value` over the neighbours; accounts without any are absent."""
+        """`x` (one row per account, with `_own`) plus the sum of `value` over its neighbours."""
         xs = x.select("account_id", F.col(value).alias("_x"))
-        per_group = (
-            self.groups.join(xs, "account_id")
-            .groupBy("grp", "copies").agg(F.sum("_x").alias("_t"))
-            .select("grp", "_t", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
-        )
-        parts = self.groups.join(per_group, ["grp", "salt"]).select(
+        per_group = self.groups.join(self._small(xs), "account_id").groupBy("grp", "copies").agg(F.sum("_x").alias("_t"))
+        per_group = per_group.select("grp", "_t", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
+        sums = self.groups.join(self._small(per_group), ["grp", "salt"]).select(
             "account_id", (F.col("sign") * F.col("_t")).alias("_p")
         )
-        parts = parts.unionByName(
-            self.own.join(xs, "account_id").select("account_id", (-F.col("weight") * F.col("_x")).alias("_p"))
-        )
         if self.listed is not None:
             far = xs.withColumnRenamed("account_id", "dst")
-            parts = parts.unionByName(
-                self.listed.join(far, "dst").select(F.col("src").alias("account_id"), F.col("_x").alias("_p"))
+            sums = sums.unionByName(
+                self.listed.join(self._small(far), "dst").select(F.col("src").alias("account_id"), F.col("_x").alias("_p"))
             )
-        return parts.groupBy("account_id").agg(F.sum("_p").alias(name))
+        sums = sums.groupBy("account_id").agg(F.sum("_p").alias("_s"))
+        total = F.coalesce("_s", F.lit(0)) - F.col("_own") * F.col(value)
+        return x.join(self._small(sums), "account_id", "left").withColumn(name, total).drop("_s")
 
     def degrees(self) -> DataFrame:
         """(account_id, connected_accounts) for every account, 0 when isolated."""
         ones = self.accounts.withColumn("_one", F.lit(1).cast("bigint"))
-        counted = self.neighbour_sum(ones, "_one", "connected_accounts")
-        return self.accounts.join(counted, "account_id", "left").select(
-            "account_id", F.coalesce("connected_accounts", F.lit(0)).cast("bigint").alias("connected_accounts")
+        return self.neighbour_sum(ones, "_one", "connected_accounts").select(
+            "account_id", F.col("connected_accounts").cast("bigint").alias("connected_accounts")
         )
 
 
 def _subsets(devices: Column) -> Column:
     """All non-empty subsets of a short sorted array."""
-    masks = F.sequence(F.lit(1), F.shiftleft(F.lit(1), F.size(devices)) - 1)
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(devices)).cast("int") - 1)
     bits = F.array(*[F.lit(1 << i) for i in range(MAX_DEVICES)])
     return F.transform(
         masks, lambda m: F.filter(devices, lambda d, i: m.bitwiseAND(F.get(bits, i)) != 0)
@@ -135,38 +133,46 @@ def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int |
     rows_per_copy = rows_per_copy or skew.HOT_ROWS
     max_devices = min(max_devices, MAX_DEVICES)
     u = materialise(uses(df))
-    accounts = materialise(df.select("account_id").where(F.col("account_id").isNotNull()).distinct())
     sizes = u.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k"))
-    many = materialise(sizes.where(F.col("_k") > max_devices))
-    light = u if many.isEmpty() else attach(u, many, "account_id", weight="_k").where("_k is null").drop("_k")
+    many, seen = materialise_with(sizes.where(F.col("_k") > max_devices))
+    heavy = seen["rows"] > 0
+    light = attach(u, many, "account_id", how="left_anti", right_rows=seen["rows"]) if heavy else u
     members = (
         light.groupBy("account_id").agg(F.sort_array(F.collect_set("device_id")).alias("_devices"))
-        .select("account_id", F.explode(_subsets(F.col("_devices"))).alias("grp"))
+        .select("account_id", F.explode(_subsets(F.col("_devices"))).alias("_subset"))
     )
     popular = (
-        members.groupBy("grp").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        members.groupBy("_subset").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
         .withColumn("copies", F.ceil(F.col("_n") / rows_per_copy))
+        .withColumn("grp", F.monotonically_increasing_id())
     )
-    groups = materialise(
-        attach(members, popular, "grp", how="inner", weight="_n").select(
-            "account_id",
+    groups, seen_groups = materialise_with(
+        attach(members, popular, "_subset", how="inner", weight="_n").select(
             "grp",
+            "account_id",
             "copies",
             F.pmod(F.xxhash64("account_id"), F.col("copies")).alias("salt"),
-            F.when(F.size("grp") % 2 == 1, 1).otherwise(-1).alias("sign"),
+            F.when(F.size("_subset") % 2 == 1, 1).otherwise(-1).alias("sign"),
         )
     )
-    own = materialise(groups.groupBy("account_id").agg(F.sum("sign").alias("weight")))
-    listed = None
-    if not many.isEmpty():
-        hubs = attach(u, many, "account_id", how="inner", weight="_k").select(
+    own = groups.groupBy("account_id").agg(F.sum("sign").alias("_own"))
+    accounts = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
+    accounts, seen_accounts = materialise_with(
+        accounts.join(own, "account_id", "left").select("account_id", F.coalesce("_own", F.lit(0)).alias("_own"))
+    )
+    listed, listed_rows = None, 0
+    if heavy:
+        hubs = attach(u, many, "account_id", how="left_semi", right_rows=seen["rows"]).select(
             F.col("account_id").alias("dst"), "device_id"
         )
         one_way = attach(u.withColumnRenamed("account_id", "src"), hubs, "device_id", how="inner").where(
             "src <> dst"
         ).select("src", "dst")
-        listed = materialise(one_way.unionByName(one_way.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    return Sharing(accounts, groups, own, listed)
+        other_way = one_way.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+        listed, seen_listed = materialise_with(one_way.unionByName(other_way).distinct())
+        listed_rows = seen_listed["rows"]
+    short = max(seen_groups["rows"], seen_accounts["rows"], listed_rows) <= skew.BROADCAST_ROWS
+    return Sharing(accounts, groups, listed, short)
 
 
 def lowest_neighbours(df: DataFrame, most: int = 10) -> DataFrame:

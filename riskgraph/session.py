@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 
 def build_session(master: str | None = None, app: str = "riskgraph", **conf) -> SparkSession:
@@ -64,12 +64,42 @@ def _is_uuid(text: str) -> bool:
     return True
 
 
+def work_dir(spark: SparkSession) -> str:
+    """This application's own folder below the shared folder."""
+    return f"{shared_dir(spark)}/riskgraph-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for a written table below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path for a written table."""
+    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this application wrote through `new_path`, once results are consumed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute `df` once and cut its lineage with a reliable checkpoint."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute `df` once into a written table in the shared folder and read it back.
+
+    Lineage ends here, so a lost executor costs a re-read and not a re-run. A table is
+    used and not `checkpoint()`: it is columnar and pruned when read, and its file size
+    is its statistic, whereas a checkpoint keeps the estimate of the plan behind it,
+    which in a loop of joins multiplies from round to round.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialise_with(df: DataFrame, **observed: Column) -> tuple[DataFrame, dict]:
+    """`materialise` that also returns aggregates collected by the same job.
+
+    A retried task may be counted twice, so the numbers only steer decisions (is it
+    empty, is it short enough to broadcast, has it converged); they are never results.
+    """
+    seen = Observation()
+    out = materialise(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in observed.items()]))
+    return out, seen.get
