@@ -284,7 +284,8 @@ part("contributed", " UNION ALL ".join(
 @query("explain_top_contributors", """SELECT transaction_id, cast(row_number() OVER w AS int) AS rank, feature, value, round(shap_impact, 6) AS shap_impact,
  CASE WHEN shap_impact > 0 THEN 'increases' ELSE 'decreases' END AS direction,
  CASE WHEN demo_probability > 0.8::DOUBLE THEN 'HIGH' WHEN demo_probability > 0.4::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
-FROM contributed QUALIFY row_number() OVER w <= 5 WINDOW w AS (PARTITION BY transaction_id ORDER BY abs(shap_impact) DESC, feature)""")
+FROM contributed WINDOW w AS (PARTITION BY transaction_id ORDER BY abs(shap_impact) DESC, feature)
+QUALIFY row_number() OVER w <= 5""")
 def explain_top_contributors(spark, sf):
     from riskgraph.functions import rules
 
