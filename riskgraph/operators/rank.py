@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
+from riskgraph.functions.skew import attach
 from riskgraph.operators.sharing import Sharing, sharing
 from riskgraph.session import materialise, materialise_with
 
 
+# Iterations that run as one job; each reports its largest move.
+STEPS_PER_JOB = 3
+
+
 def pagerank(
     df: DataFrame,
     alpha: float = 0.85,
@@ -26,17 +31,35 @@ def pagerank(
     n = graph.accounts.count()
     if n == 0:
         return graph.accounts.withColumn("pagerank_score", F.lit(None).cast("double"))
-    state = graph.neighbour_sum(graph.accounts.withColumn("_one", F.lit(1)), "_one", "_deg")
-    state = materialise(state.select("account_id", "_own", "_deg", F.lit(1.0 / n).alias("_pr")))
-    for _ in range(max_iter):
-        given = state.withColumn("_give", F.when(F.col("_deg") > 0, F.col("_pr") / F.col("_deg")).otherwise(F.lit(0.0)))
-        moved = graph.neighbour_sum(given, "_give", "_got").select(
-            "account_id", "_own", "_deg", F.col("_pr").alias("_before"),
-            (F.lit((1 - alpha) / n) + F.lit(alpha) * F.col("_got")).alias("_pr"),
-        )
+    ones = graph.accounts.withColumn("_one", F.lit(1))
+    degrees = graph.gather(ones, "_one").select(
+        "account_id", F.when(F.col("total") > 0, F.col("total")).otherwise(F.lit(1)).cast("double").alias("k")
+    )
+    degrees, size = materialise_with(degrees)
+    outward = materialise(attach(graph.outward, degrees, "account_id", right_rows=size["rows"]))
+
+    def step(state: DataFrame, seen: Observation) -> DataFrame:
+        """One iteration; `_give` is the score per neighbour, recovered as the account's own share."""
+        moved = graph.gather(state, "_give", outward, k=F.max("k")).select(
+            "account_id", "k", (F.col("own") * F.col("k")).alias("_before"),
+            (F.lit((1 - alpha) / n) + F.lit(alpha) * F.col("total")).alias("_pr"),
+        ).withColumn("_give", F.col("_pr") / F.col("k"))
         excess = F.max(F.abs(F.col("_pr") - F.col("_before")) - (atol + rtol * F.abs(F.col("_before"))))
-        moved, seen = materialise_with(moved, excess=excess)
-        if seen["excess"] <= 0:
-            break
-        state = moved
+        return moved.observe(seen, excess.alias("excess"))
+
+    state = degrees.select("account_id", "k", F.lit(1.0 / n).alias("_pr"), (F.lit(1.0 / n) / F.col("k")).alias("_give"))
+    done = 0
+    while done < max_iter:
+        start, watched = state, []
+        for _ in range(min(STEPS_PER_JOB, max_iter - done)):
+            watched.append(Observation())
+            state = step(state, watched[-1])
+        state = materialise(state)
+        for i, seen in enumerate(watched):
+            if seen.get["excess"] <= 0:
+                # Walk to the scores before the step that settled.
+                for _ in range(i):
+                    start = step(start, Observation())
+                return start.select("account_id", F.col("_pr").alias("pagerank_score"))
+        done += len(watched)
     return state.select("account_id", F.col("_pr").alias("pagerank_score"))

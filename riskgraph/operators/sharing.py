@@ -80,43 +80,40 @@ def shared_device_edges(df: DataFrame) -> DataFrame:
 class Sharing:
     """Compressed neighbour relation.
 
-    accounts  account_id, _own (how often an account meets itself through its groups)
-    groups    grp, account_id, sign, copies, salt: members of every group of >= 2 accounts
-    listed    src, dst: explicit edges with a many-device account at either end
+    accounts  account_id
+    inward    grp, account_id: members of every shared group, and a group of its own per account
+    outward   grp, account_id, sign, itself, copies, salt: what an account takes from a group
     short     all of these were counted and are short enough to broadcast
     """
 
     accounts: DataFrame
-    groups: DataFrame
-    listed: DataFrame | None
+    inward: DataFrame
+    outward: DataFrame
     short: bool
 
-    def _small(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.short else df
+    def _join(self, left: DataFrame, right: DataFrame, keys) -> DataFrame:
+        return left.join(F.broadcast(right) if self.short else right, keys)
 
-    def neighbour_sum(self, x: DataFrame, value: str, name: str) -> DataFrame:
-        """`x` (one row per account, with `_own`) plus the sum of `value` over its neighbours."""
+    def gather(self, x: DataFrame, value: str, outward: DataFrame | None = None, **kept: Column) -> DataFrame:
+        """(account_id, total, own, kept..): sum of `value` over the neighbours, and the account's own.
+
+        `x` is read once, so steps of an iteration can be chained in one plan.
+        `kept` are further aggregates over the account's rows of `outward`.
+        """
         xs = x.select("account_id", F.col(value).alias("_x"))
-        per_group = self.groups.join(self._small(xs), "account_id").groupBy("grp", "copies").agg(F.sum("_x").alias("_t"))
+        per_group = self._join(self.inward, xs, "account_id").groupBy("grp", "copies").agg(F.sum("_x").alias("_t"))
         per_group = per_group.select("grp", "_t", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("salt"))
-        sums = self.groups.join(self._small(per_group), ["grp", "salt"]).select(
-            "account_id", (F.col("sign") * F.col("_t")).alias("_p")
+        taken = self._join(self.outward if outward is None else outward, per_group, ["grp", "salt"])
+        return taken.groupBy("account_id").agg(
+            F.sum(F.col("sign") * F.col("_t")).alias("total"),
+            F.sum(F.when(F.col("itself"), F.col("_t"))).alias("own"),
+            *[c.alias(k) for k, c in kept.items()],
         )
-        if self.listed is not None:
-            far = xs.withColumnRenamed("account_id", "dst")
-            sums = sums.unionByName(
-                self.listed.join(self._small(far), "dst").select(F.col("src").alias("account_id"), F.col("_x").alias("_p"))
-            )
-        sums = sums.groupBy("account_id").agg(F.sum("_p").alias("_s"))
-        total = F.coalesce("_s", F.lit(0)) - F.col("_own") * F.col(value)
-        return x.join(self._small(sums), "account_id", "left").withColumn(name, total).drop("_s")
 
     def degrees(self) -> DataFrame:
         """(account_id, connected_accounts) for every account, 0 when isolated."""
         ones = self.accounts.withColumn("_one", F.lit(1).cast("bigint"))
-        return self.neighbour_sum(ones, "_one", "connected_accounts").select(
-            "account_id", F.col("connected_accounts").cast("bigint").alias("connected_accounts")
-        )
+        return self.gather(ones, "_one").select("account_id", F.col("total").cast("bigint").alias("connected_accounts"))
 
 
 def _subsets(devices: Column) -> Column:
@@ -143,24 +140,23 @@ def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int |
     )
     popular = (
         members.groupBy("_subset").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-        .withColumn("copies", F.ceil(F.col("_n") / rows_per_copy))
         .withColumn("grp", F.monotonically_increasing_id())
     )
     groups, seen_groups = materialise_with(
         attach(members, popular, "_subset", how="inner", weight="_n").select(
-            "grp",
-            "account_id",
-            "copies",
-            F.pmod(F.xxhash64("account_id"), F.col("copies")).alias("salt"),
-            F.when(F.size("_subset") % 2 == 1, 1).otherwise(-1).alias("sign"),
+            "grp", "account_id", F.when(F.size("_subset") % 2 == 1, 1).otherwise(-1).alias("sign")
         )
     )
-    own = groups.groupBy("account_id").agg(F.sum("sign").alias("_own"))
+    met = groups.groupBy("account_id").agg(F.sum("sign").alias("_met"))
     accounts = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
+    # Own groups are numbered downwards from -1, shared ones upwards from 0.
     accounts, seen_accounts = materialise_with(
-        accounts.join(own, "account_id", "left").select("account_id", F.coalesce("_own", F.lit(0)).alias("_own"))
+        accounts.join(met, "account_id", "left").select(
+            "account_id", (-F.coalesce("_met", F.lit(0))).cast("int").alias("sign"),
+            (-1 - F.monotonically_increasing_id()).alias("grp"),
+        )
     )
-    listed, listed_rows = None, 0
+    outward = groups.withColumn("itself", F.lit(False)).unionByName(accounts.withColumn("itself", F.lit(True)))
     if heavy:
         hubs = attach(u, many, "account_id", how="left_semi", right_rows=seen["rows"]).select(
             F.col("account_id").alias("dst"), "device_id"
@@ -169,10 +165,23 @@ def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int |
             "src <> dst"
         ).select("src", "dst")
         other_way = one_way.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-        listed, seen_listed = materialise_with(one_way.unionByName(other_way).distinct())
-        listed_rows = seen_listed["rows"]
-    short = max(seen_groups["rows"], seen_accounts["rows"], listed_rows) <= skew.BROADCAST_ROWS
-    return Sharing(accounts, groups, listed, short)
+        listed = one_way.unionByName(other_way).distinct()
+        of_dst = accounts.select(F.col("account_id").alias("dst"), "grp")
+        listed = attach(listed, of_dst, "dst", how="inner", right_rows=seen_accounts["rows"])
+        outward = outward.unionByName(listed.select(
+            "grp", F.col("src").alias("account_id"), F.lit(1).alias("sign"), F.lit(False).alias("itself")
+        ))
+    outward, seen_out = materialise_with(outward)
+    copies = outward.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_copy)).alias("copies"))
+    copies, seen_copies = materialise_with(copies)
+    salted = attach(outward, copies, "grp", right_rows=seen_copies["rows"]).withColumn(
+        "salt", F.pmod(F.xxhash64("account_id"), F.col("copies"))
+    )
+    inward = groups.select("grp", "account_id").unionByName(accounts.select("grp", "account_id"))
+    inward = attach(inward, copies, "grp", right_rows=seen_copies["rows"])
+    inward, seen_in = materialise_with(inward)
+    short = max(seen_in["rows"], seen_out["rows"]) <= skew.BROADCAST_ROWS
+    return Sharing(accounts.select("account_id"), inward, materialise(salted), short)
 
 
 def lowest_neighbours(df: DataFrame, most: int = 10) -> DataFrame:
