@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from riskgraph import fixtures as fx
 from riskgraph.catalog.graph import ACCOUNT
 from riskgraph.catalog.registry import part, query, r6
-from riskgraph.operators import components, features, rings, scoring
+from riskgraph.operators import components, features, rings, scoring, sharing
 from riskgraph.functions import rules
 from riskgraph.plans import reports, requests
-from riskgraph.session import materialise
 from riskgraph.streaming import live
 
 TRANSACTION = "TXN_0000000042"
@@ -53,8 +52,9 @@ def with_graph(df):
     """Shared-device flag, ring flag and community of every transaction."""
     from riskgraph.functions.skew import attach
 
-    accounts = components.account_components(df).join(
-        rings.ring_members(rings.fraud_rings(df)), "account_id", "left"
+    graph = sharing.sharing(df)
+    accounts = components.account_components(df, graph.pairs).join(
+        rings.ring_members(rings.fraud_rings(df, graph)), "account_id", "left"
     ).withColumn("fraud_ring_flag", F.coalesce("fraud_ring_flag", F.lit(0)))
     return attach(features.device_features(df), accounts, "account_id")
 

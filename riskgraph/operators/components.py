@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.skew import attach
-from riskgraph.operators.sharing import uses
+from riskgraph.operators.sharing import Pairs, pairs_of
 from riskgraph.session import materialise, materialise_with
 
 
@@ -53,15 +53,15 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     return roots
 
 
-def account_components(df: DataFrame) -> DataFrame:
+def account_components(df: DataFrame, pairs: Pairs | None = None) -> DataFrame:
     """(account_id, community_id, community_size).
 
     Accounts and devices are the vertices, so a popular device costs one row per
     account. The id is the smallest account id of the component; an account without
     a device is a component of its own.
     """
-    u = materialise(uses(df))
-    named = u.select(
+    pairs = pairs or pairs_of(df)
+    named = pairs.uses.select(
         F.concat(F.lit("a:"), "account_id").alias("src"), F.concat(F.lit("d:"), "device_id").alias("dst")
     )
     found = (
@@ -73,8 +73,7 @@ def account_components(df: DataFrame) -> DataFrame:
         F.min("account_id").alias("community_id"), F.count(F.lit(1)).alias("community_size")
     )
     labelled = attach(found, sizes, "root", weight="community_size").drop("root")
-    everyone = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
-    return everyone.join(labelled, "account_id", "left").select(
+    return pairs.accounts.join(labelled, "account_id", "left").select(
         "account_id",
         F.coalesce("community_id", "account_id").alias("community_id"),
         F.coalesce("community_size", F.lit(1)).cast("bigint").alias("community_size"),

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.rules import uniform
 from riskgraph.functions.skew import attach
-from riskgraph.operators.sharing import uses
+from riskgraph.operators.sharing import Pairs, pairs_of
 from riskgraph.session import materialise, materialise_with
 
 
-def betweenness(df: DataFrame, sample_share: float | None = None, seed: int = 42) -> DataFrame:
+def betweenness(
+    df: DataFrame, sample_share: float | None = None, seed: int = 42, pairs: Pairs | None = None
+) -> DataFrame:
     """(account_id, betweenness_centrality), scaled so the largest is 1.
 
     All sources advance one level per round. The search runs over account -> device
@@ -23,11 +25,10 @@ def betweenness(df: DataFrame, sample_share: float | None = None, seed: int = 42
     component sizes. `sample_share` searches from a fixed share of the accounts only
     and is an estimate; by default all accounts are sources.
     """
-    u, size = materialise_with(uses(df))
-    rows = size["rows"]
+    pairs = pairs or pairs_of(df)
+    u, rows, accounts = pairs.uses, pairs.rows, pairs.accounts
     of_account = u.withColumnRenamed("account_id", "node")
     of_device = u.withColumnRenamed("account_id", "next")
-    accounts = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
     sources = u.select("account_id").distinct()
     if sample_share is not None:
         sources = sources.where(uniform(F.col("account_id"), F.lit(seed)) < sample_share)

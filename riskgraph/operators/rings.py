@@ -19,7 +19,7 @@ def fraud_rings(df: DataFrame, graph: Sharing | None = None) -> DataFrame:
     both directions of a pair may appear.
     """
     graph = graph or sharing(df)
-    pairs = materialise(lowest_neighbours(df, MOST_NEIGHBOURS))
+    pairs = materialise(lowest_neighbours(df, MOST_NEIGHBOURS, graph.pairs))
     v = materialise(visits(df))
     first = v.withColumnRenamed("account_id", "account1")
     second = v.withColumnRenamed("account_id", "account2")

@@ -36,6 +36,23 @@ def uses(df: DataFrame) -> DataFrame:
     ).distinct()
 
 
+@dataclass
+class Pairs:
+    """(account, device) pairs read once for all graph operators."""
+
+    uses: DataFrame
+    accounts: DataFrame
+    rows: int
+
+
+def pairs_of(df: DataFrame) -> Pairs:
+    """One scan of two columns; accounts without a device are kept as accounts."""
+    both, seen = materialise_with(
+        df.select("account_id", "device_id").where(F.col("account_id").isNotNull()).distinct()
+    )
+    return Pairs(both.where(F.col("device_id").isNotNull()), both.select("account_id").distinct(), seen["rows"])
+
+
 def visits(df: DataFrame) -> DataFrame:
     """Distinct (account_id, merchant_id)."""
     return df.select("account_id", "merchant_id").where(
@@ -84,12 +101,14 @@ class Sharing:
     inward    grp, account_id: members of every shared group, and a group of its own per account
     outward   grp, account_id, sign, itself, copies, salt: what an account takes from a group
     short     all of these were counted and are short enough to broadcast
+    pairs     what it was built from
     """
 
     accounts: DataFrame
     inward: DataFrame
     outward: DataFrame
     short: bool
+    pairs: Pairs
 
     def _join(self, left: DataFrame, right: DataFrame, keys) -> DataFrame:
         return left.join(F.broadcast(right) if self.short else right, keys)
@@ -129,7 +148,8 @@ def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int |
     """Build the compressed neighbour relation of a transaction table."""
     rows_per_copy = rows_per_copy or skew.HOT_ROWS
     max_devices = min(max_devices, MAX_DEVICES)
-    u = materialise(uses(df))
+    pairs = pairs_of(df)
+    u = pairs.uses
     sizes = u.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k"))
     many, seen = materialise_with(sizes.where(F.col("_k") > max_devices))
     heavy = seen["rows"] > 0
@@ -148,10 +168,9 @@ def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int |
         )
     )
     met = groups.groupBy("account_id").agg(F.sum("sign").alias("_met"))
-    accounts = df.select("account_id").where(F.col("account_id").isNotNull()).distinct()
     # Own groups are numbered downwards from -1, shared ones upwards from 0.
     accounts, seen_accounts = materialise_with(
-        accounts.join(met, "account_id", "left").select(
+        pairs.accounts.join(met, "account_id", "left").select(
             "account_id", (-F.coalesce("_met", F.lit(0))).cast("int").alias("sign"),
             (-1 - F.monotonically_increasing_id()).alias("grp"),
         )
@@ -181,24 +200,24 @@ def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int |
     inward = attach(inward, copies, "grp", right_rows=seen_copies["rows"])
     inward, seen_in = materialise_with(inward)
     short = max(seen_in["rows"], seen_out["rows"]) <= skew.BROADCAST_ROWS
-    return Sharing(accounts.select("account_id"), inward, materialise(salted), short)
+    return Sharing(accounts.select("account_id"), inward, materialise(salted), short, pairs)
 
 
-def lowest_neighbours(df: DataFrame, most: int = 10) -> DataFrame:
+def lowest_neighbours(df: DataFrame, most: int = 10, pairs: Pairs | None = None) -> DataFrame:
     """(account1, account2): each account's `most` lowest-named neighbours.
 
     Only the lowest `most + 1` accounts of a device can be among them, and that cut
     is made per device before accounts are joined to it.
     """
-    u = materialise(uses(df))
+    u = (pairs or pairs_of(df)).uses
     by_device = Window.partitionBy("device_id").orderBy("account_id")
     firsts = (
         u.withColumn("_rank", F.row_number().over(by_device)).where(F.col("_rank") <= most + 1)
         .select("device_id", F.col("account_id").alias("account2"))
     )
-    pairs = (
+    near = (
         attach(u.withColumnRenamed("account_id", "account1"), firsts, "device_id", how="inner")
         .where("account1 <> account2").select("account1", "account2").distinct()
     )
     by_account = Window.partitionBy("account1").orderBy("account2")
-    return pairs.withColumn("_rank", F.row_number().over(by_account)).where(F.col("_rank") <= most).drop("_rank")
+    return near.withColumn("_rank", F.row_number().over(by_account)).where(F.col("_rank") <= most).drop("_rank")

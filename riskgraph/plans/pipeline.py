@@ -20,11 +20,11 @@ def account_graph_table(
 ) -> DataFrame:
     """Every graph feature, one row per account."""
     graph = sharing(df)
-    out = node_features(df, graph).join(account_components(df), "account_id", "left")
+    out = node_features(df, graph).join(account_components(df, graph.pairs), "account_id", "left")
     if with_pagerank:
         out = out.join(pagerank(df, graph=graph), "account_id", "left")
     if with_betweenness:
-        out = out.join(betweenness(df, sample_share), "account_id", "left")
+        out = out.join(betweenness(df, sample_share, pairs=graph.pairs), "account_id", "left")
     return out.join(ring_members(fraud_rings(df, graph)), "account_id", "left").withColumn(
         "fraud_ring_flag", F.coalesce("fraud_ring_flag", F.lit(0))
     )
