@@ -2,8 +2,8 @@
 
 Models are fitted on the whole feature table of the given data. The fitted model
 and its feature table are kept per session and data folder, so the queries that
-need "a trained model" share one. The registered fits use ROUNDS trees per
-ensemble; the library default is 200.
+need "a trained model" share one. Boosting, the comparison and cross-validation use
+ROUNDS trees here; the library default is 200, and the single forest keeps it.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def ml_boosted_trees(spark, sf):
 @query("ml_random_forest")
 def ml_random_forest(spark, sf):
     df = matrix(spark, sf)
-    return training.train(df, model_features(df), training.FOREST, rounds=ROUNDS)[1].withColumn(
+    return training.train(df, model_features(df), training.FOREST)[1].withColumn(
         "model", F.lit(training.FOREST)
     )
 
