@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -40,8 +41,6 @@ def with_parts(body: str, *names: str) -> str:
 
 
 def _mentions(sql: str, name: str) -> bool:
-    import re
-
     return re.search(rf"\b{name.split('(')[0]}\b", sql) is not None
 
 
