@@ -44,11 +44,16 @@ def _mentions(sql: str, name: str) -> bool:
     return re.search(rf"\b{name.split('(')[0]}\b", sql) is not None
 
 
+def oracle_texts() -> dict[str, str]:
+    """Every DuckDB text behind its named tables, which may have been defined after the query."""
+    return {key: with_parts(sql) for key, sql in ORACLES.items()}
+
+
 def query(key: str, sql: str | None = None):
     def register(fn: Query) -> Query:
         QUERIES[key] = fn
         if sql is not None:
-            ORACLES[key] = with_parts(sql)
+            ORACLES[key] = sql
         return fn
 
     return register
