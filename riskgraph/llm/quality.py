@@ -91,7 +91,7 @@ def describe(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     per = lambda w: np.bincount(passage, weights=w, minlength=n) / count
     mean = per(length)
     distinct_doc = np.bincount(doc[order_doc], weights=fresh_doc, minlength=len(texts)) / np.maximum(1, words)
-    breaks = np.bincount(passage, weights=np.r_[joined[stops[:-1]] == 10, False].astype(float), minlength=n)
+    breaks = np.bincount(passage, weights=np.r_[(joined[stops[:-1]] == 10) & (doc[1:] == doc[:-1]), False].astype(float), minlength=n)
     extra = [
         mean / 10, np.sqrt(np.maximum(0, per(length.astype(float) ** 2) - mean ** 2)) / 10, per(same),
         np.bincount(passage[order], weights=fresh, minlength=n) / count, np.repeat(distinct_doc, passages),

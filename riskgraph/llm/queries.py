@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import bpe, exact_dedup, mixing, quality, reshard, simhash
+from riskgraph.llm import ann, bpe, exact_dedup, mixing, pii, quality, reshard, simhash
 from riskgraph.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 OLD_SHARDS, SHARDS = 32, 40
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("times")
 
@@ -41,8 +45,14 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op3_mixing, op4_simhash_near_dedup, op5_resharding, op6_exact_dedup, op7_byte_bpe, op9_quality)}
+    op1_pii, op3_mixing, op4_simhash_near_dedup, op5_resharding, op6_exact_dedup, op7_byte_bpe, op9_quality,
+    op10_nearest)}
 
 ORACLES = {
     "op6_exact_dedup": """
