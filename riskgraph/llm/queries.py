@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import ann, bpe, exact_dedup, mixing, pii, quality, reshard, simhash
+from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, mixing, pii, quality, reshard, simhash, suffix_dedup
 from riskgraph.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -16,6 +16,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("times")
 
@@ -40,6 +44,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How near each document is to the language of the conversations."""
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "conversations"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -51,8 +60,8 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pii, op3_mixing, op4_simhash_near_dedup, op5_resharding, op6_exact_dedup, op7_byte_bpe, op9_quality,
-    op10_nearest)}
+    op1_pii, op2_suffix_dedup, op3_mixing, op4_simhash_near_dedup, op5_resharding, op6_exact_dedup, op7_byte_bpe, op8_lm_scoring,
+    op9_quality,     op10_nearest)}
 
 ORACLES = {
     "op6_exact_dedup": """
