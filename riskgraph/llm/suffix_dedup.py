@@ -5,9 +5,9 @@ with a smaller id or earlier in the same one.
 
 1. Each window of `WINDOW` bytes names an anchor: its `GRAM`-byte substring of smallest hash,
    the leftmost of equals. Equal windows have equal anchors, and neighbouring windows mostly
-   share one, so a text is a row of pieces, each with one anchor. Pieces whose anchor is
-   met once in the whole corpus have no repeated window.
-2. The other pieces are dealt by anchor into shards. A shard lays its distinct pieces end to
+   share one, so a text is a row of pieces, each with one anchor. Windows that hold an
+   anchor that the whole corpus has once do not repeat.
+2. The other windows of the pieces are dealt by anchor into shards. A shard lays its distinct pieces end to
    end, sorts all suffixes (Larsson-Sadakane: ranks by 8 bytes, then doubling, in which only
    groups that are still tied are sorted again) and finds common prefixes (Kasai: a prefix
    is one shorter than that of the suffix before it unless the characters in front differ;
@@ -64,11 +64,11 @@ def _stir(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def segment_pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, number of windows) of the pieces of at most SEGMENT bytes."""
+def segment_pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, first window, number of windows, place of the anchor) of the pieces of at most SEGMENT bytes."""
     n = len(data)
     if n < WINDOW:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_stir(data.astype(np.uint64) + np.uint64(1)) * _UP[:n], out=sums[1:])
     grams = _stir((sums[GRAM:] - sums[:-GRAM]) * _DOWN[:n - GRAM + 1])
@@ -81,16 +81,35 @@ def segment_pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     windows = n - WINDOW + 1
     anchor = (np.minimum(behind[:windows], ahead[width - 1:width - 1 + windows]) & place).astype(np.int64)
     first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
-    return grams[anchor[first]], first, np.diff(np.r_[first, windows])
+    return grams[anchor[first]], first, np.diff(np.r_[first, windows]), anchor[first]
 
 
 def pieces(data: bytes):
-    """(anchor hashes, first windows, numbers of windows) of a text, segment by segment."""
+    """(anchor hashes, first windows, numbers of windows, places of the anchors) of a text, segment by segment."""
     whole = np.frombuffer(data, np.uint8)
     for at in range(0, max(1, len(data) - WINDOW + 1), SEGMENT - WINDOW + 1):
-        anchors, first, count = segment_pieces(whole[at:at + SEGMENT])
+        anchors, first, count, place = segment_pieces(whole[at:at + SEGMENT])
         if len(anchors):
-            yield anchors, first + at, count
+            yield anchors, first + at, count, place + at
+
+
+def possible(first: np.ndarray, count: np.ndarray, place: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, first window, number of windows) of the runs that can repeat, inside pieces whose anchor is `met` again.
+
+    A window that repeats holds no anchor that is met only once; the others are cut off.
+    """
+    begin, end = first[0], first[-1] + count[-1]
+    once = place[~met]
+    change = np.zeros(end - begin + 1, np.int64)
+    np.add.at(change, np.maximum(once - (WINDOW - GRAM), begin) - begin, 1)
+    np.add.at(change, np.minimum(once + 1, end) - begin, -1)
+    piece = np.repeat(np.arange(len(first)), count)
+    open_ = met[piece] & (np.cumsum(change)[:-1] == 0)
+    at = np.flatnonzero(open_)
+    if not len(at):
+        return at, at, at
+    head = np.flatnonzero(np.r_[True, (at[1:] != at[:-1] + 1) | (piece[at][1:] != piece[at][:-1])])
+    return piece[at[head]], at[head] + begin, np.diff(np.r_[head, len(at)])
 
 
 def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
@@ -250,7 +269,7 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
     def one(batch: pa.RecordBatch) -> dict:
         out = {"anchor": [], "d": [], "t": [], "start": []}
         for d, data in zip(batch.column("d").to_pylist(), utf8(batch)):
-            for anchors, first, _ in pieces(data):
+            for anchors, first, _, _ in pieces(data):
                 out["anchor"].append(anchors.view(np.int64))
                 out["start"].append(first)
                 out["d"].append(np.full(len(first), d))
@@ -290,11 +309,11 @@ def _contents(docs: DataFrame, candidates: DataFrame, shards: int) -> DataFrame:
             if t != _name(data):
                 continue  # another text under the same id
             spread_of = {p["start"]: p["spread"] for p in wanted}
-            for anchors, first, count in pieces(data):
-                for anchor, a, n in zip(anchors.tolist(), first.tolist(), count.tolist()):
-                    spread = spread_of.get(a)
-                    if spread is None:
-                        continue
+            for anchors, first, count, place in pieces(data):
+                spreads = [spread_of.get(a) for a in first.tolist()]
+                runs = possible(first, count, place, np.array([x is not None for x in spreads]))
+                for i, a, n in zip(*(x.tolist() for x in runs)):
+                    anchor, spread = int(anchors[i]), spreads[i]
                     content = data[a:a + n - 1 + WINDOW]
                     shard = anchor % shards
                     if spread > 1:

@@ -58,7 +58,7 @@ def test_against_brute_force(spark, texts, monkeypatch, hot, shard, segment):
     if segment < 1 << 20:  # workers have their own copy of the module
         for i, t in rows:
             found = list(suffix_dedup.pieces((t or "").encode()))
-            assert sum(int(n.sum()) for _, _, n in found) == max(0, len((t or "").encode()) - 99)
+            assert sum(int(n.sum()) for _, _, n, _ in found) == max(0, len((t or "").encode()) - 99)
     got = {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.digest(suffix_dedup.remove_repeats(table)).collect()}
     assert got == brute(rows)
 
