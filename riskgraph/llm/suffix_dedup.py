@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskgraph.llm.common import map_batches, utf8
 from riskgraph.session import materialise, materialise_with
 
-WINDOW, GRAM = 100, 32
+WINDOW, GRAM = 100, 24
 SEGMENT = 1 << 20
 SHARD_PIECES = 24_000
 HOT_PIECES = 50_000
@@ -240,11 +240,16 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST)).alias("d"), F.col("text").cast("string"))
 
 
-def _name(data: bytes) -> int:
-    return xxhash.xxh64_intdigest(data) - (1 << 63)
+def _name(data: bytes, ids_repeat: bool) -> int:
+    """What tells texts of one id apart; nothing needs to where no id repeats."""
+    return xxhash.xxh64_intdigest(data) - (1 << 63) if ids_repeat else 0
 
 
-def anchor_rows(docs: DataFrame) -> DataFrame:
+def _ids_repeat(docs: DataFrame) -> bool:
+    return bool(_documents(docs).groupBy("d").agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count())
+
+
+def anchor_rows(docs: DataFrame, ids_repeat: bool = True) -> DataFrame:
     """(anchor, d, t, start): one row per piece of every text."""
 
     def one(batch: pa.RecordBatch) -> dict:
@@ -254,7 +259,7 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 out["anchor"].append(anchors.view(np.int64))
                 out["start"].append(first)
                 out["d"].append(np.full(len(first), d))
-                out["t"].append(np.full(len(first), _name(data)))
+                out["t"].append(np.full(len(first), _name(data, ids_repeat)))
         return {k: np.concatenate(v) if v else np.empty(0, np.int64) for k, v in out.items()}
 
     return map_batches(_documents(docs), one, "anchor long, d long, t long, start long")
@@ -266,9 +271,9 @@ def _release_shuffles(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _candidates(docs: DataFrame) -> tuple[DataFrame, int]:
+def _candidates(docs: DataFrame, ids_repeat: bool) -> tuple[DataFrame, int]:
     """(d, t, starts, spreads) of the pieces whose anchor is met more than once, and how many there are."""
-    rows = anchor_rows(docs)
+    rows = anchor_rows(docs, ids_repeat)
     met, seen = materialise_with(
         rows.select("anchor").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         .select("anchor", F.ceil(F.col("n") / HOT_PIECES).cast("int").alias("spread"), "n"), pieces=F.sum("n"))
@@ -279,7 +284,7 @@ def _candidates(docs: DataFrame) -> tuple[DataFrame, int]:
     return materialise(found), seen["pieces"] or 0
 
 
-def _contents(docs: DataFrame, candidates: DataFrame, shards: int) -> DataFrame:
+def _contents(docs: DataFrame, candidates: DataFrame, shards: int, ids_repeat: bool) -> DataFrame:
     """(shard, spread, content, d, t, start) of the candidate pieces."""
     joined = _documents(docs).join(candidates.withColumnRenamed("t", "_t"), "d")
 
@@ -287,7 +292,7 @@ def _contents(docs: DataFrame, candidates: DataFrame, shards: int) -> DataFrame:
         out = {k: [] for k in ("shard", "spread", "content", "d", "t", "start")}
         columns = zip(batch.column("d").to_pylist(), utf8(batch), batch.column("_t").to_pylist(), batch.column("pieces").to_pylist())
         for d, data, t, wanted in columns:
-            if t != _name(data):
+            if t != _name(data, ids_repeat):
                 continue  # another text under the same id
             spread_of = {p["start"]: p["spread"] for p in wanted}
             for anchors, first, count in pieces(data):
@@ -310,12 +315,12 @@ def _with_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return _shard(key, rows).assign(shard=key[0])
 
 
-def repeated_runs(docs: DataFrame) -> DataFrame:
+def repeated_runs(docs: DataFrame, ids_repeat: bool) -> DataFrame:
     """(d, t, runs): for each document the runs (start, size) of windows that also start earlier."""
-    candidates, count = _candidates(docs)
+    candidates, count = _candidates(docs, ids_repeat)
     _release_shuffles(docs.sparkSession)
     shards = max(1, -(-count // SHARD_PIECES))
-    found = materialise(_contents(docs, candidates, shards).groupBy("shard").applyInPandas(_with_shard, RESULT + ", shard long"))
+    found = materialise(_contents(docs, candidates, shards, ids_repeat).groupBy("shard").applyInPandas(_with_shard, RESULT + ", shard long"))
     _release_shuffles(docs.sparkSession)
     merged = found.where("hash is not null").groupBy("range").applyInPandas(_merge, "d long, t long, start long, size long")
     runs = found.where("hash is null").select("d", "t", "start", "size").unionByName(merged)
@@ -336,7 +341,8 @@ def _strip(data: bytes, runs: list[dict]) -> tuple[int, int, bytes]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) of every document; kept holds the remaining bytes."""
-    runs = repeated_runs(docs)
+    ids_repeat = _ids_repeat(docs)
+    runs = repeated_runs(docs, ids_repeat)
     # one row per id: texts that share an id find their own runs by their hash
     runs = runs.groupBy("d").agg(F.collect_list(F.struct("t", "runs")).alias("texts"))
     joined = _documents(docs).withColumn("doc_id", F.nullif(F.col("d"), F.lit(_LAST))).join(runs, "d", "left")
@@ -344,7 +350,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def one(batch: pa.RecordBatch) -> dict:
         out = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept")}
         for data, texts in zip(utf8(batch), batch.column("texts").to_pylist()):
-            own = next((x["runs"] for x in texts or () if x["t"] == _name(data)), [])
+            own = next((x["runs"] for x in texts or () if x["t"] == _name(data, ids_repeat)), [])
             removed, spans, kept = _strip(data, own)
             for k, v in zip(out, (len(data), removed, spans, kept)):
                 out[k].append(v)
