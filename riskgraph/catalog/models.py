@@ -15,10 +15,11 @@ from riskgraph.catalog.registry import part, query, r6
 from riskgraph.catalog.tables import EXPRESSIONS, JOINED, ROUNDED
 from riskgraph.operators import anomaly, encode, explain, features, metrics, scoring, smote, training
 from riskgraph.plans import pipeline, reports
-from riskgraph.session import materialise, new_path
+from riskgraph.session import ON_RELEASE, materialise, new_path
 
 ROUNDS = 20
 _KEPT: dict[tuple, object] = {}
+ON_RELEASE.append(_KEPT.clear)
 
 
 def _once(spark, sf, name, build):
@@ -32,7 +33,7 @@ def training_table(spark, sf):
     """Cleaned, engineered, encoded transactions with the account graph features and a label."""
     def build():
         rows = pipeline.etl(fx.transactions(spark, sf), fx.AS_OF)
-        rows = pipeline.merge_graph_features(rows, with_pagerank=False, with_betweenness=False)
+        rows = pipeline.merge_graph_features(rows)
         return materialise(rows.withColumn("label", F.col("is_fraud")))
 
     return _once(spark, sf, "table", build)

@@ -20,17 +20,22 @@ def exact_quantiles(
 
     One aggregate sizes every column. Columns with few values use `percentile`;
     the others narrow a histogram of at most BINS rows per pass until a single
-    value is left, so no task ever holds the column.
+    value is left, so no task ever holds the column. NaN counts as missing; infinities
+    are values at either end.
     """
     limit = BUILT_IN_LIMIT if built_in_limit is None else built_in_limit
+    df = df.select(*[_without_nan(F.col(c)).alias(c) for c in wanted])
     sizes = []
     for i, c in enumerate(wanted):
-        v = F.col(c).cast("double")
+        v = F.col(c)
+        real = F.when(F.abs(v) < F.lit(float("inf")), v)
         sizes += [
             F.count(v).alias(f"n{i}"),
             F.approx_count_distinct(v).alias(f"d{i}"),
-            F.min(v).alias(f"lo{i}"),
-            F.max(v).alias(f"hi{i}"),
+            F.count_if(v == F.lit(float("-inf"))).alias(f"below{i}"),
+            F.count(real).alias(f"real{i}"),
+            F.min(real).alias(f"lo{i}"),
+            F.max(real).alias(f"hi{i}"),
         ]
     size = df.agg(*sizes).first()
     out: dict[str, list[float | None]] = {}
@@ -42,11 +47,11 @@ def exact_quantiles(
         elif min(n, 2 * size[f"d{i}"]) <= limit:
             built_in.append((i, c, probs))
         else:
-            out[c] = [_interpolate(df, c, p * (n - 1), size[f"lo{i}"], size[f"hi{i}"]) for p in probs]
+            out[c] = [_interpolate(df, c, p * (n - 1), size[f"lo{i}"], size[f"hi{i}"], size[f"below{i}"], size[f"real{i}"]) for p in probs]
     if built_in:
         row = df.agg(
             *[
-                F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in probs])).alias(f"q{i}")
+                F.percentile(F.col(c), F.array(*[F.lit(float(p)) for p in probs])).alias(f"q{i}")
                 for i, c, probs in built_in
             ]
         ).first()
@@ -59,23 +64,41 @@ def exact_quantile(df: DataFrame, column: str, p: float) -> float | None:
     return exact_quantiles(df, {column: [p]})[column][0]
 
 
-def _interpolate(df: DataFrame, column: str, position: float, low: float, high: float) -> float:
+def _without_nan(column: Column) -> Column:
+    v = column.cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+def _interpolate(df: DataFrame, column: str, position: float, low: float, high: float, below: int, real: int) -> float:
+    """Value at a fractional rank; `below` rows are -inf, `real` rows finite, the others inf."""
     rank = int(position)
-    value, _, last_rank = select_rank(df, F.col(column), rank, low, high)
+    if rank < below:
+        value, last_rank = float("-inf"), below - 1
+    elif rank >= below + real:
+        return float("inf")
+    else:
+        value, _, last_rank = select_rank(df, F.col(column), rank - below, low, high)
+        last_rank += below
     share = position - rank
     if share == 0 or rank < last_rank:
         return value
-    above = df.where(F.col(column) > F.lit(value)).agg(F.min(column)).first()[0]
-    return value + (float(above) - value) * share
+    above = float(df.where(F.col(column) > F.lit(value)).agg(F.min(column)).first()[0])
+    return value * (1 - share) + above * share
 
 
 def select_rank(df: DataFrame, column: Column, rank: int, low: float, high: float) -> tuple[float, int, int]:
-    """Value at 0-based `rank` of a finite numeric column, and the first and last rank that value holds."""
-    values = df.select(column.cast("double").alias("v")).where(F.col("v").isNotNull())
-    below = 0
+    """Value at 0-based `rank` among the finite numbers of a column, and the first and last rank that value holds.
+
+    Each pass cuts the range into BINS; where rounding no longer lets a pass cut it, the range
+    holds a few thousand doubles at most, and they are counted one by one.
+    """
+    values = df.select(_without_nan(column).alias("v")).where(F.col("v").isNotNull())
+    below, single = 0, False
     while True:
-        width = (high - low) / BINS
-        place = F.least(F.floor((F.col("v") - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)) if width > 0 else F.lit(0)
+        width = high / BINS - low / BINS
+        single = single or width <= 0
+        place = F.col("v") if single else F.greatest(F.lit(0.0), F.least(
+            F.floor(F.col("v") / F.lit(width) - F.lit(low / width)).cast("double"), F.lit(float(BINS - 1))))
         bins = (
             values.where(F.col("v").between(low, high))
             .groupBy(place.alias("bin"))
@@ -84,6 +107,7 @@ def select_rank(df: DataFrame, column: Column, rank: int, low: float, high: floa
         )
         for b in sorted(bins, key=lambda r: r["bin"]):
             if below + b["n"] > rank:
+                single = (b["lo"], b["hi"]) == (low, high)
                 low, high, n = b["lo"], b["hi"], b["n"]
                 break
             below += b["n"]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, Window, functions as F
 from pyspark.sql import types as T
 
 from riskgraph.functions.order import exact_quantiles
+from riskgraph.session import materialise
 
 
 def drop_duplicate_ids(df: DataFrame, id_column: str = "transaction_id", order: str = "_seq") -> DataFrame:
@@ -27,8 +28,10 @@ def _numeric(df: DataFrame, skip: tuple[str, ...] = ("_seq",)) -> list[str]:
 
 
 def fill_medians(df: DataFrame) -> DataFrame:
-    """Null numerics become the exact median of their column."""
+    """Null and NaN numerics become the exact median of their column."""
     numeric = _numeric(df)
+    real = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and f.name in numeric]
+    df = df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in real})
     nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in numeric]).first()
     holed = [c for c in numeric if nulls[c]]
     if not holed:
@@ -40,7 +43,8 @@ def fill_medians(df: DataFrame) -> DataFrame:
 
 
 def positive_amounts(df: DataFrame) -> DataFrame:
-    return df.where(F.col("amount") > 0)
+    """Rows with an amount above zero; NaN is none."""
+    return df.where((F.col("amount") > 0) & ~F.isnan(F.col("amount").cast("double")))
 
 
 def not_future(df: DataFrame, as_of: str | None = None) -> DataFrame:
@@ -53,6 +57,7 @@ def clean(df: DataFrame, as_of: str | None = None, observe: tuple[Observation, O
     """All steps in order. `observe` collects `rows` before and after as the job runs."""
     if observe:
         df = df.observe(observe[0], F.count(F.lit(1)).alias("rows"))
-    df = drop_duplicate_ids(df)
+    # written once: counting holes, the medians and the result would each repeat the shuffle
+    df = materialise(drop_duplicate_ids(df))
     out = df.transform(fill_strings).transform(fill_medians).transform(positive_amounts).transform(not_future, as_of)
     return out.observe(observe[1], F.count(F.lit(1)).alias("rows")) if observe else out

@@ -140,11 +140,13 @@ def explain_rows(df: DataFrame, model: RiskModel, id_column: str = "transaction_
     )
 
 
-def hash_sample(df: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "transaction_id", seed: int = PROXY_SAMPLE_SEED) -> DataFrame:
-    """A fixed random sample: the `rows` lowest hashes of the id.
+def hash_sample(df: DataFrame, rows: int | None = None, id_column: str = "transaction_id", seed: int = PROXY_SAMPLE_SEED) -> DataFrame:
+    """A fixed random sample: the `rows` lowest hashes of the id; all rows without a number.
 
     The bulk is refused by a threshold before anything is ordered.
     """
+    if rows is None:
+        return df
     n = df.count()
     if n <= rows:
         return df
@@ -153,8 +155,8 @@ def hash_sample(df: DataFrame, rows: int = SAMPLE_ROWS, id_column: str = "transa
     return offered.orderBy(key, id_column).limit(rows)
 
 
-def global_importance(df: DataFrame, model: RiskModel, sample_size: int = SAMPLE_ROWS) -> DataFrame:
-    """Mean absolute contribution per feature over a sample."""
+def global_importance(df: DataFrame, model: RiskModel, sample_size: int | None = None) -> DataFrame:
+    """Mean absolute contribution per feature, over all rows or a sample."""
     return (
         explain_rows(hash_sample(df, sample_size), model)
         .groupBy("feature").agg(F.avg("abs_shap").alias("shap_importance"))
@@ -206,7 +208,7 @@ def align(df: DataFrame, keep: Sequence[str] = ("transaction_id",)) -> DataFrame
     return prepare_matrix(df, model_columns(df), keep)
 
 
-def beeswarm_table(df: DataFrame, model: RiskModel, sample_size: int = SAMPLE_ROWS) -> DataFrame:
+def beeswarm_table(df: DataFrame, model: RiskModel, sample_size: int | None = None) -> DataFrame:
     """Long (feature, feature_value, shap_value) rows behind a summary plot."""
     return explain_rows(hash_sample(df, sample_size), model).select(
         "transaction_id", "feature", "feature_value", "shap_value"

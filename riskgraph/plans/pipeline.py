@@ -13,6 +13,7 @@ from riskgraph.operators.paths import betweenness
 from riskgraph.operators.rank import pagerank
 from riskgraph.operators.rings import fraud_rings, ring_members
 from riskgraph.operators.sharing import sharing
+from riskgraph.session import materialise
 
 
 def account_graph_table(
@@ -41,12 +42,13 @@ def merge_graph_features(df: DataFrame, **options) -> DataFrame:
 
 
 def etl(df: DataFrame, as_of: str | None = None) -> DataFrame:
-    return df.transform(clean.clean, as_of).transform(features.engineer).transform(encode.encode_first_seen)
+    """Cleaned, engineered and encoded rows; what several jobs read next is written once."""
+    return materialise(materialise(clean.clean(df, as_of)).transform(features.engineer)).transform(encode.encode_first_seen)
 
 
 def full_run(df: DataFrame, as_of: str | None = None, model=None, **graph_options) -> DataFrame:
     """The batch job: everything up to the final risk score."""
-    out = merge_graph_features(etl(df, as_of), **graph_options)
+    out = materialise(merge_graph_features(materialise(etl(df, as_of)), **graph_options))
     detector = anomaly.fit(out, encode.feature_columns(out, extra_exclude=("community_id", "demo_probability")))
     out = anomaly.detect(out, detector)
     return scoring.with_final_score(scoring.scoring(out, model))

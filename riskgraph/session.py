@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -36,6 +39,28 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Called by `release`: what holds on to written tables lets go of them here.
+ON_RELEASE: list[Callable[[], None]] = []
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application, so it need not be installed there."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    _SHIPPED.add(application)
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskgraph-code-"), "riskgraph_code.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("riskgraph", os.path.relpath(path, here)))
+    spark.sparkContext.addPyFile(archive)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that outlives executors: `spark.checkpoint.dir`, as the cluster names it.
 
@@ -43,6 +68,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder. A cluster session without it is refused, because a machine-local folder
     would not survive the loss of an executor.
     """
+    ship(spark)
     sc = spark.sparkContext
     known = sc.getCheckpointDir()
     if known:
@@ -76,6 +102,8 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 def release(spark: SparkSession) -> None:
     """Delete every table this application wrote through `new_path`, once results are consumed."""
+    for let_go in ON_RELEASE:
+        let_go()
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
