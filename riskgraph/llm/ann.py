@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskgraph.session import materialise
 
-SHARD_NODES = 8192
+SHARD_NODES = 4096
 QUERY_BLOCK = 1024
 DEGREE, BEAM, ALPHA = 32, 96, 1.2
 BATCH = 256
