@@ -13,9 +13,10 @@ with a smaller id or earlier in the same one.
    is one shorter than that of the suffix before it unless the characters in front differ;
    only those that can't be had this way are compared). Windows with a common prefix of
    `WINDOW` bytes are equal, all but the first of them repeat.
-3. An anchor with more than `HOT_PIECES` pieces is spread over several shards by content.
-   Such a shard also gives the first of each of its windows, as runs sorted by a 128-bit
-   hash; they are merged across shards by binary search of each run in the union of those before.
+3. An anchor with more than `HOT_PIECES` pieces is spread over several shards by document,
+   so that copies of one passage are spread too. Such a shard also gives the first of each of
+   its windows, as runs sorted by a 128-bit hash; they are merged across shards by binary
+   search of each run in the union of those before, in ranges of about `RANGE_HEADS` hashes.
 
 Texts are cut into segments of `SEGMENT` bytes that overlap by `WINDOW - 1`, so memory does
 not depend on their length. Null texts count as empty. Rows that repeat an id and a text are
@@ -41,7 +42,8 @@ from riskgraph.session import materialise, materialise_with
 WINDOW, GRAM = 100, 24
 SEGMENT = 1 << 20
 SHARD_PIECES = 24_000
-HOT_PIECES = 50_000
+HOT_PIECES = 12_000
+RANGE_HEADS = 250_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 
@@ -164,7 +166,7 @@ def repeated_windows(contents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.
     return group[whole], piece[whole], offset[whole]
 
 
-RESULT = "d long, t long, start long, size long, hash binary, range int"
+RESULT = "d long, t long, start long, size long, hash binary, range long"
 
 
 def _runs(d: np.ndarray, t: np.ndarray, at: np.ndarray) -> pd.DataFrame:
@@ -178,7 +180,7 @@ def _runs(d: np.ndarray, t: np.ndarray, at: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"d": d[begin], "t": t[begin], "start": at[begin], "size": at[end] - at[begin] + 1})
 
 
-def _shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+def _shard(rows: pd.DataFrame, ranges: int) -> pd.DataFrame:
     """One shard: windows that repeat, as runs; of spread anchors also the first of each window."""
     rows = rows.sort_values(["content", "d", "t", "start"], kind="stable")
     content = rows["content"].to_numpy()
@@ -202,9 +204,9 @@ def _shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     if len(heads):
         hashes = [hashlib.blake2b(content[at[i]][offset[i]:offset[i] + WINDOW], digest_size=16).digest() for i in heads]
         out.append(pd.DataFrame({"d": wd[heads], "t": wt[heads], "start": ws[heads], "size": 1, "hash": hashes,
-                                 "range": [h[0] for h in hashes]}))
+                                 "range": [int.from_bytes(h[:4]) * ranges >> 32 for h in hashes]}))
     found = pd.concat(out)
-    return found.reindex(columns=["d", "t", "start", "size", "hash", "range"]).astype({"range": "Int32"})
+    return found.reindex(columns=["d", "t", "start", "size", "hash", "range"]).astype({"range": "Int64"})
 
 
 def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -271,17 +273,18 @@ def _release_shuffles(spark) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _candidates(docs: DataFrame, ids_repeat: bool) -> tuple[DataFrame, int]:
-    """(d, t, starts, spreads) of the pieces whose anchor is met more than once, and how many there are."""
+def _candidates(docs: DataFrame, ids_repeat: bool) -> tuple[DataFrame, int, int]:
+    """(d, t, starts, spreads) of the pieces whose anchor is met more than once, how many there are, and how many of them are spread."""
     rows = anchor_rows(docs, ids_repeat)
     met, seen = materialise_with(
         rows.select("anchor").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        .select("anchor", F.ceil(F.col("n") / HOT_PIECES).cast("int").alias("spread"), "n"), pieces=F.sum("n"))
+        .select("anchor", F.ceil(F.col("n") / HOT_PIECES).cast("int").alias("spread"), "n"),
+        pieces=F.sum("n"), spread=F.sum(F.when(F.col("spread") > 1, F.col("n"))))
     _release_shuffles(docs.sparkSession)
     # one row per document and copy of the document's row: `distinct` by document when it is put together
     found = rows.join(met.select("anchor", "spread"), "anchor").groupBy("d", "t").agg(
         F.collect_set(F.struct("start", "spread")).alias("pieces"))
-    return materialise(found), seen["pieces"] or 0
+    return materialise(found), seen["pieces"] or 0, seen["spread"] or 0
 
 
 def _contents(docs: DataFrame, candidates: DataFrame, shards: int, ids_repeat: bool) -> DataFrame:
@@ -303,7 +306,8 @@ def _contents(docs: DataFrame, candidates: DataFrame, shards: int, ids_repeat: b
                     content = data[a:a + n - 1 + WINDOW]
                     shard = anchor % shards
                     if spread > 1:
-                        shard = (anchor + xxhash.xxh64_intdigest(content) % spread * 0x9E3779B97F4A7C15) % (1 << 64) % shards
+                        salt = xxhash.xxh64_intdigest(f"{d} {t} {a}") % spread
+                        shard = (anchor + salt * 0x9E3779B97F4A7C15) % (1 << 64) % shards
                     for k, v in zip(out, (shard, spread > 1, content, d, t, a)):
                         out[k].append(v)
         return out
@@ -311,16 +315,17 @@ def _contents(docs: DataFrame, candidates: DataFrame, shards: int, ids_repeat: b
     return map_batches(joined, one, "shard long, spread boolean, content binary, d long, t long, start long")
 
 
-def _with_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    return _shard(key, rows).assign(shard=key[0])
-
-
 def repeated_runs(docs: DataFrame, ids_repeat: bool) -> DataFrame:
     """(d, t, runs): for each document the runs (start, size) of windows that also start earlier."""
-    candidates, count = _candidates(docs, ids_repeat)
+    candidates, count, spread = _candidates(docs, ids_repeat)
     _release_shuffles(docs.sparkSession)
     shards = max(1, -(-count // SHARD_PIECES))
-    found = materialise(_contents(docs, candidates, shards, ids_repeat).groupBy("shard").applyInPandas(_with_shard, RESULT + ", shard long"))
+    ranges = max(1, -(-spread * (WINDOW - GRAM) // RANGE_HEADS))  # no piece has more windows that are the first of their kind
+
+    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return _shard(rows, ranges).assign(shard=key[0])
+
+    found = materialise(_contents(docs, candidates, shards, ids_repeat).groupBy("shard").applyInPandas(one, RESULT + ", shard long"))
     _release_shuffles(docs.sparkSession)
     merged = found.where("hash is not null").groupBy("range").applyInPandas(_merge, "d long, t long, start long, size long")
     runs = found.where("hash is null").select("d", "t", "start", "size").unionByName(merged)
