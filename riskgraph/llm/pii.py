@@ -218,11 +218,13 @@ def score_graph(places: DataFrame, rounds: int = ROUNDS, confidence: float = CON
     edges = materialise(places.groupBy("pattern", "value").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col("known").cast("int")).alias("known"), F.max(F.col("shaped").cast("int")).alias("shaped")))
     scores = materialise(edges.groupBy("value").agg(F.max("known").cast("double").alias("score")))
+    totals = materialise(edges.groupBy("pattern").agg(F.sum("n").alias("total")))
     good = None
     for _ in range(rounds):
-        weighed = edges.join(scores, "value")
+        # a value without a score adds to the total alone
+        weighed = edges.join(scores.where("score > 0"), "value").groupBy("pattern").agg(F.sum(F.col("n") * F.col("score")).alias("weight"))
         good = materialise(
-            weighed.groupBy("pattern").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("confidence"))
+            totals.join(weighed, "pattern").select("pattern", (F.col("weight") / F.col("total")).alias("confidence"))
             .where(F.col("confidence") >= confidence))
         miss = F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))
         found = edges.join(good, "pattern").groupBy("value").agg(
