@@ -11,7 +11,10 @@ data, so ordinary words lend none. A word with a digit or an @ in a confident pa
 with such a score is a new span, of kind `context`; seeds stay as they are.
 
 Texts go through a filter of fixed size that holds the patterns; what it lets through by
-mistake is removed by the join that follows. A null text counts as empty. Rows that repeat
+mistake is removed by the join that follows. Places whose word has no digit and no @ and is
+no part of a seed can never score: each batch only counts them by pattern. They bound what a
+pattern can reach, and patterns whose bound is below `CONFIDENCE` leave the graph before it
+is scored, which changes no result. A null text counts as empty. Rows that repeat
 an id and text each get all spans. An empty table gives no rows; other columns are not
 looked at. Offsets count code points, end exclusive.
 """
@@ -19,6 +22,7 @@ looked at. Offsets count code points, end exclusive.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -169,15 +173,17 @@ def pattern_filter(patterns: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 
 
 def mentions(docs: DataFrame, patterns: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """(pattern, doc_id, text_hash, start, end, value, known, shaped): every place of every pattern.
+    """(pattern, n, doc_id, text_hash, start, end, value, known, shaped): the places of every pattern.
 
-    `known`: the word overlaps a fixed span; `shaped`: it has a digit or an @.
+    `known`: the word overlaps a fixed span; `shaped`: it has a digit or an @. A place that is
+    neither has no row of its own: such places are counted, in rows with a null value and their number n.
     """
     shared = docs.sparkSession.sparkContext.broadcast(pattern_filter(patterns, bits))
 
     def one(batch: pa.RecordBatch) -> dict:
         table = shared.value
-        out = {k: [] for k in ("pattern", "doc_id", "text_hash", "start", "end", "value", "known", "shaped")}
+        out = {k: [] for k in ("pattern", "n", "doc_id", "text_hash", "start", "end", "value", "known", "shaped")}
+        plain = Counter()
         for doc_id, data in zip(batch.column("doc_id").to_pylist(), utf8(batch)):
             words = _Words(data)
             if not words.n:
@@ -197,28 +203,38 @@ def mentions(docs: DataFrame, patterns: DataFrame, bits: int = FILTER_BITS) -> D
                 for i in hit:
                     a, b = int(points[words.begin[i]]), int(points[words.end[i]])
                     word = text[a:b]
-                    out["pattern"].append(int(pattern[i:i + 1].view(np.int64)[0]))
+                    name = int(pattern[i:i + 1].view(np.int64)[0])
+                    known, shaped = bool(taken[a:b].any()), any(c.isdigit() or c == "@" for c in word)
+                    if not (known or shaped):
+                        plain[name] += 1
+                        continue
+                    out["pattern"].append(name)
+                    out["n"].append(1)
                     out["doc_id"].append(doc_id)
                     out["text_hash"].append(text_hash)
                     out["start"].append(a)
                     out["end"].append(a + len(word.rstrip(".,;:!?")) or b)
                     out["value"].append(xxhash.xxh64_intdigest(word.rstrip(".,;:!?").encode()) - (1 << 63))
-                    out["known"].append(bool(taken[a:b].any()))
-                    out["shaped"].append(any(c.isdigit() or c == "@" for c in word))
-        return out
+                    out["known"].append(known)
+                    out["shaped"].append(shaped)
+        out["pattern"] += plain.keys()
+        out["n"] += plain.values()
+        return {k: v + [None] * (len(out["n"]) - len(v)) for k, v in out.items()}
 
     places = map_batches(
         docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")), one,
-        "pattern long, doc_id long, text_hash long, start long, end long, value long, known boolean, shaped boolean")
+        "pattern long, n long, doc_id long, text_hash long, start long, end long, value long, known boolean, shaped boolean")
     return places.join(patterns.select("pattern"), "pattern", "left_semi")
 
 
 def score_graph(places: DataFrame, rounds: int = ROUNDS, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
     """(confident patterns, scores of values) after some rounds over the counted graph."""
-    edges = materialise(places.groupBy("pattern", "value").agg(
+    named = places.where("value is not null")
+    totals = materialise(places.groupBy("pattern").agg(
+        F.sum("n").alias("total"), F.count("value").alias("possible")).where(F.col("possible") / F.col("total") >= confidence))
+    edges = materialise(named.join(totals.select("pattern"), "pattern", "left_semi").groupBy("pattern", "value").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.col("known").cast("int")).alias("known"), F.max(F.col("shaped").cast("int")).alias("shaped")))
-    scores = materialise(edges.groupBy("value").agg(F.max("known").cast("double").alias("score")))
-    totals = materialise(edges.groupBy("pattern").agg(F.sum("n").alias("total")))
+    scores = materialise(named.groupBy("value").agg(F.max(F.col("known").cast("double")).alias("score")))
     good = None
     for _ in range(rounds):
         # a value without a score adds to the total alone
