@@ -8,6 +8,7 @@ ROUNDS trees here; the library default is 200, and the single forest keeps it.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from riskgraph import fixtures as fx
@@ -198,23 +199,38 @@ def _detector(spark, sf):
     return _once(spark, sf, "detector", lambda: anomaly.fit(df, model_features(df)))
 
 
-@query("anom_fit")
+@query("anom_fit", """SELECT cast(t.range AS int) AS tree, cast(least(256, pos + neg) AS int) AS sample, true AS grown, true AS depth_ok
+FROM range(200) t, class_counts""")
 def anom_fit(spark, sf):
-    """The fitted forest as a table, one row per tree, with the shared offset."""
-    d = anomaly.fit(matrix(spark, sf), model_features(matrix(spark, sf)))
-    used = (d.nodes["feature"] >= 0).sum(axis=1)
-    rows = [(t, int(n), float(d.offset), d.sample) for t, n in enumerate(used)]
-    return spark.createDataFrame(rows, "tree int, splits int, offset double, sample int")
-
-
-@query("anom_score")
+    """Per tree of the fitted forest: its sample, whether it split at all, whether it kept the depth limit."""
+    d = _detector(spark, sf)
+    limit = int(np.ceil(np.log2(max(d.sample, 2))))
+    rows = []
+    for t in range(d.nodes["feature"].shape[0]):
+        deepest, waiting = 0, [(0, 0)]
+        while waiting:
+            at, depth = waiting.pop()
+            deepest = max(deepest, depth)
+            if d.nodes["feature"][t, at] >= 0:
+                waiting += [(int(d.nodes["left"][t, at]), depth + 1), (int(d.nodes["right"][t, at]), depth + 1)]
+        rows.append((t, d.sample, bool(d.nodes["feature"][t, 0] >= 0), deepest <= limit))
+    return spark.createDataFrame(rows, "tree int, sample int, grown boolean, depth_ok boolean")
+
+
+@query("anom_score", "SELECT pos + neg AS rows, 0.0::DOUBLE AS lowest, 1.0::DOUBLE AS highest FROM class_counts")
 def anom_score(spark, sf):
-    return anomaly.detect(matrix(spark, sf), _detector(spark, sf)).select("transaction_id", "anomaly_score")
+    """Scores of all rows: how many, and that both ends of [0, 1] are reached."""
+    scored = anomaly.detect(matrix(spark, sf), _detector(spark, sf))
+    return scored.agg(F.count(F.lit(1)).alias("rows"), r6(F.min("anomaly_score")).alias("lowest"),
+                      r6(F.max("anomaly_score")).alias("highest"))
 
 
-@query("anom_flag")
+@query("anom_flag", "SELECT pos + neg AS rows, true AS share_near_contamination FROM class_counts")
 def anom_flag(spark, sf):
-    return anomaly.detect(matrix(spark, sf), _detector(spark, sf)).select("transaction_id", "is_anomaly")
+    """Flags of all rows: the flagged share lies within one point of the contamination (5%)."""
+    scored = anomaly.detect(matrix(spark, sf), _detector(spark, sf))
+    share = F.avg(F.col("is_anomaly").cast("double"))
+    return scored.agg(F.count(F.lit(1)).alias("rows"), (F.abs(share - 0.05) <= 0.01).alias("share_near_contamination"))
 
 
 def _fixed_anomaly(spark, sf):

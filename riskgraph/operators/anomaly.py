@@ -1,4 +1,4 @@
-"""Isolation forest: trees grown in parallel groups, scored in Arrow batches."""
+"""Isolation forest: exact per-tree samples by lowest draw, trees grown in parallel groups, scored in Arrow batches."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ TREES = 200
 SAMPLE = 256
 EULER = 0.5772156649015329
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
+TREE_SCHEMA_NAMES = ["tree", "node", "feature", "threshold", "left", "right", "path"]
 
 
 def _usual_path(n):
@@ -57,7 +58,9 @@ def _grow(seed: int, depth_limit: int):
                 rows.append([tree, me, -1, 0.0, me, me, depth + float(_usual_path(len(members)))])
                 continue
             f = int(rng.choice(varying))
-            t = float(rng.uniform(low[f], high[f]))
+            # uniform() may round up to `high` between neighbouring doubles: every row would go
+            # left. Below `high` by one step, the row at `low` still goes left, the one at `high` right.
+            t = min(float(rng.uniform(low[f], high[f])), float(np.nextafter(high[f], -np.inf)))
             rows.append([tree, me, f, t, -1, -1, 0.0])
             goes_left = x[members, f] <= t
             waiting.append((members[~goes_left], depth + 1, me, "right"))
@@ -67,10 +70,32 @@ def _grow(seed: int, depth_limit: int):
     return grow
 
 
-def _pool(rows: DataFrame, n: int, wanted: int, seed: int) -> DataFrame:
-    """A fixed random pool of about `wanted` rows: those with the lowest id hashes."""
-    key = uniform(F.col("id"), F.lit(seed))
-    return rows if n <= wanted else rows.where(key < F.lit(wanted / n))
+def _bottom_k(rows: DataFrame, n: int, trees: int, k: int, seed: int) -> DataFrame:
+    """(tree, id, x): for each tree exactly the k rows with the lowest draws (ties by id).
+
+    A row's draw for a tree is a hash of (id, tree), so reruns and lost tasks draw the same.
+    One JVM-side pass keeps, of each row, only the trees whose draw is below a bar that
+    about 2k + 64 rows pass; the exact k lowest per tree are then ranked among those few.
+    Should a tree fall short of k, the bar is raised and the pass repeated, so the sample
+    is exact at every size, and no tree ever groups more than a few k rows.
+    """
+    room = 2.0
+    while True:
+        bar = min(1.0, (room * k + 64) / max(n, 1))
+        offered = F.filter(
+            F.transform(
+                F.sequence(F.lit(0), F.lit(trees - 1)),
+                lambda t: F.struct(t.alias("tree"), uniform(F.col("id"), t, F.lit(seed + 1)).alias("draw")),
+            ),
+            lambda s: s["draw"] < F.lit(bar),
+        )
+        passed = materialise(rows.select("id", "x", F.explode(offered).alias("d")).select("d.tree", "d.draw", "id", "x"))
+        full = passed.groupBy("tree").count().where(F.col("count") >= k).count()
+        if full == trees or bar >= 1.0:
+            break
+        room *= 4
+    lowest = F.row_number().over(Window.partitionBy("tree").orderBy("draw", "id"))
+    return passed.withColumn("_rank", lowest).where(F.col("_rank") <= k).select("tree", "id", "x")
 
 
 def fit(
@@ -84,9 +109,9 @@ def fit(
 ) -> Detector:
     """Grow the forest on scaled features and place the offset at the contamination quantile.
 
-    Each tree draws its rows from a pool of about trees * sample rows, so the work of
-    growing does not depend on the size of the table; only one aggregate (scaling) and
-    one scoring pass (offset) read all of it.
+    Each tree grows on the min(sample, rows) rows of lowest draw (`_bottom_k`); only the
+    scaling aggregate, the drawing pass and one scoring pass (offset) read all rows.
+    An empty table gives a detector without trees, whose scores are all 0.
     """
     columns = list(columns)
     ready = prepare_matrix(df, columns, keep=(id_column,))
@@ -94,16 +119,12 @@ def fit(
     x = F.array(*[((F.col(c) - F.lit(scale[c][0])) / F.lit(scale[c][1])).cast("double") for c in columns])
     rows = ready.select(F.col(id_column).alias("id"), x.alias("x"))
     n = rows.count()
-    pool = materialise(_pool(rows, n, trees * sample, seed))
-    in_pool = pool.count()
-    per_tree = min(sample, in_pool)
-    draw = uniform(F.col("id"), F.col("tree"), F.lit(seed + 1))
-    # Twice the rows needed on average, then exactly the lowest draws of each tree.
-    offered = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn("_draw", draw)
-    offered = offered.where(F.col("_draw") < F.lit(min(1.0, (2 * per_tree + 64) / max(in_pool, 1))))
-    lowest = F.row_number().over(Window.partitionBy("tree").orderBy("_draw", "id"))
-    drawn = offered.withColumn("_rank", lowest).where(F.col("_rank") <= per_tree).select("tree", "id", "x")
+    per_tree = min(sample, n)
+    if per_tree == 0:
+        return Detector(columns, scale, _arrays(pd.DataFrame(columns=TREE_SCHEMA_NAMES), 0), 0)
+    drawn = _bottom_k(rows, n, trees, per_tree, seed)
     depth = int(np.ceil(np.log2(max(per_tree, 2))))
+    # Bounded: a tree of k rows has at most 2k - 1 nodes, so trees * (2k - 1) rows come back.
     table = drawn.groupBy("tree").applyInPandas(_grow(seed, depth), TREE_SCHEMA).toPandas()
     detector = Detector(columns, scale, _arrays(table, trees), per_tree)
     scores = materialise(ready.select(_score(detector, scaled=False).alias("s")))
@@ -111,12 +132,44 @@ def fit(
     return detector
 
 
+def save(spark, detector: Detector, path: str) -> str:
+    """Write the detector as two tables under `path`: `nodes` of the forest, `meta` of scaling and offset."""
+    a = detector.nodes
+    trees, width = a["feature"].shape
+    node_rows = [
+        (t, i, int(a["feature"][t, i]), float(a["threshold"][t, i]), int(a["left"][t, i]), int(a["right"][t, i]),
+         float(a["path"][t, i]))
+        for t in range(trees) for i in range(width) if a["left"][t, i] >= 0
+    ]
+    spark.createDataFrame(node_rows, TREE_SCHEMA).write.parquet(f"{path}/nodes")
+    meta = [(i, c, float(detector.scale[c][0]), float(detector.scale[c][1]), float(detector.offset), int(detector.sample),
+             int(trees)) for i, c in enumerate(detector.columns)]
+    spark.createDataFrame(
+        meta, "position int, column string, center double, spread double, offset double, sample int, trees int"
+    ).write.parquet(f"{path}/meta")
+    return path
+
+
+def load(spark, path: str) -> Detector:
+    """The detector that `save` wrote; its size is checked against the bound of a forest."""
+    meta = spark.read.parquet(f"{path}/meta").orderBy("position").collect()
+    trees, sample = (meta[0]["trees"], meta[0]["sample"]) if meta else (0, 0)
+    bound = trees * max(2 * sample - 1, 1)
+    table = spark.read.parquet(f"{path}/nodes").limit(bound + 1).toPandas()
+    if len(table) > bound:
+        raise ValueError(f"{path}: more nodes than {trees} trees of {sample} rows can have")
+    scale = {r["column"]: (r["center"], r["spread"]) for r in meta}
+    detector = Detector([r["column"] for r in meta], scale, _arrays(table, trees), sample)
+    detector.offset = meta[0]["offset"] if meta else 0.0
+    return detector
+
+
 def _arrays(table: pd.DataFrame, trees: int) -> dict[str, np.ndarray]:
-    width = int(table["node"].max()) + 1
+    width = int(table["node"].max()) + 1 if len(table) else 1
     out = {}
     for c, kind in (("feature", int), ("threshold", float), ("left", int), ("right", int), ("path", float)):
         a = np.full((trees, width), -1 if kind is int else 0.0, dtype=kind)
-        a[table["tree"].to_numpy(), table["node"].to_numpy()] = table[c].to_numpy()
+        a[table["tree"].to_numpy(dtype=int), table["node"].to_numpy(dtype=int)] = table[c].to_numpy(dtype=kind)
         out[c] = a
     return out
 
@@ -145,6 +198,8 @@ def _score(detector: Detector, scaled: bool):
                 goes_left = x[row, np.maximum(f, 0)] <= threshold[at]
                 at = np.where(inner, np.where(goes_left, nodes["left"][t][at], nodes["right"][t][at]), at)
             total += nodes["path"][t][at]
+        if not len(nodes["feature"]):
+            return pd.Series(np.zeros(len(x)))
         return pd.Series(-np.power(2.0, -total / len(nodes["feature"]) / usual))
 
     return walk(spark_x)

@@ -105,3 +105,41 @@ def test_anomaly_scores(table):
 def test_constant_scores_do_not_divide_by_zero(spark):
     df = spark.createDataFrame([(1.0,), (1.0,)], "s double")
     assert [r["anomaly_score"] for r in anomaly.minmax_inverted(df, "s").collect()] == [0.0, 0.0]
+
+
+def test_forest_grows_on_neighbouring_doubles_and_constant_columns(spark):
+    """A split between two neighbouring doubles must not send every row one way."""
+    low = 0.1
+    high = float(np.nextafter(low, 1.0))
+    rows = [(f"t{i}", low if i % 2 else high, 7.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "transaction_id string, a double, c double")
+    detector = anomaly.fit(df, ["a", "c"], trees=30, sample=16)
+    assert (detector.nodes["feature"][:, 0] == 0).all()  # the constant column is never split on
+    out = anomaly.detect(df, detector).toPandas()
+    assert len(out) == 40 and out["anomaly_score"].between(0, 1).all()
+
+
+def test_each_tree_draws_exactly_its_lowest_rows(spark):
+    from riskgraph.functions.rules import uniform
+
+    df = spark.range(500).select(F.col("id"), F.array(F.col("id").cast("double")).alias("x"))
+    drawn = anomaly._bottom_k(df, 500, trees=7, k=20, seed=3).toPandas()
+    draws = df.select("id", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("tree")).select(
+        "tree", "id", uniform(F.col("id"), F.col("tree"), F.lit(4)).alias("d")).toPandas()
+    want = draws.sort_values(["tree", "d", "id"]).groupby("tree").head(20)
+    assert sorted(zip(drawn["tree"], drawn["id"])) == sorted(zip(want["tree"], want["id"]))
+
+
+def test_saved_detector_scores_another_table_alike(spark, table, tmp_path):
+    detector = anomaly.fit(table, FEATURES, trees=20)
+    loaded = anomaly.load(spark, anomaly.save(spark, detector, str(tmp_path / "forest")))
+    other = table.where("hour < 12")
+    a, b = (anomaly.detect(other, d).toPandas().sort_values("transaction_id") for d in (detector, loaded))
+    assert np.array_equal(a["anomaly_score"].to_numpy(), b["anomaly_score"].to_numpy())
+    assert loaded.offset == detector.offset and loaded.columns == detector.columns
+
+
+def test_empty_table_gives_a_forest_without_trees(spark):
+    df = spark.createDataFrame([], "transaction_id string, a double")
+    detector = anomaly.fit(df, ["a"], trees=5)
+    assert detector.nodes["feature"].shape[0] == 0
