@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, mixing, pii, quality, reshard, simhash, suffix_dedup
+from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, merkle, mixing, pii, quality, reshard, simhash, suffix_dedup
 from riskgraph.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -59,9 +59,14 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document, and whether its tampered form still verifies."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_suffix_dedup, op3_mixing, op4_simhash_near_dedup, op5_resharding, op6_exact_dedup, op7_byte_bpe, op8_lm_scoring,
-    op9_quality,     op10_nearest)}
+    op9_quality, op10_nearest, op11_merkle)}
 
 ORACLES = {
     "op6_exact_dedup": """
