@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, merkle, mixing, pii, quality, reshard, simhash, suffix_dedup
+from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, merkle, mixing, pii, prefix_trie, quality, reshard, simhash, suffix_dedup
 from riskgraph.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -64,9 +64,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations, with its subtree totals."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_suffix_dedup, op3_mixing, op4_simhash_near_dedup, op5_resharding, op6_exact_dedup, op7_byte_bpe, op8_lm_scoring,
-    op9_quality, op10_nearest, op11_merkle)}
+    op9_quality, op10_nearest, op11_merkle, op12_prefix_trie)}
 
 ORACLES = {
     "op6_exact_dedup": """
