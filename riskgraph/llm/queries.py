@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, merkle, mixing, pii, prefix_trie, quality, reshard, simhash, suffix_dedup
+from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, merkle, mixing, packing, pii, prefix_trie, quality, reshard, simhash, suffix_dedup
 from riskgraph.llm.common import table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PACKING_TOKENIZER = "byte_bpe_50k.json"
 OLD_SHARDS, SHARDS = 32, 40
 
 
@@ -69,9 +70,14 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, placed in sequences of at most 2048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_suffix_dedup, op3_mixing, op4_simhash_near_dedup, op5_resharding, op6_exact_dedup, op7_byte_bpe, op8_lm_scoring,
-    op9_quality, op10_nearest, op11_merkle, op12_prefix_trie)}
+    op9_quality, op10_nearest, op11_merkle, op12_prefix_trie, op13_packing)}
 
 ORACLES = {
     "op6_exact_dedup": """
