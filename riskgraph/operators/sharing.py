@@ -10,9 +10,12 @@ but nothing else in the package is computed from it. Sums over neighbours use th
                                  (-1)^(|S|+1) * (sum of x over accounts having all of S)
                                  minus x of the account itself
 
-(inclusion-exclusion, so a neighbour met on several devices counts once). Subsets
-held by one account only are dropped. Accounts with more than MAX_DEVICES devices
-would have too many subsets; edges with such an account at one end are listed.
+(inclusion-exclusion, so a neighbour met on several devices counts once). Only the
+subsets that two accounts hold are needed; they are grown as a lattice level by level
+(`shared_subsets`), with no cap on devices per account and no list of pairs. Its size
+is the number of (account, shared set) memberships: linear in (account, device) rows
+when accounts share few devices with any one other account; k devices that two accounts
+both hold give 2^k - 1 sets.
 """
 
 from __future__ import annotations
@@ -25,7 +28,6 @@ from riskgraph.functions import skew
 from riskgraph.functions.skew import attach
 from riskgraph.session import materialise, materialise_with
 
-MAX_DEVICES = 5
 PROFILE_PART_ROWS = 10_000
 
 
@@ -135,31 +137,46 @@ class Sharing:
         return self.gather(ones, "_one").select("account_id", F.col("total").cast("bigint").alias("connected_accounts"))
 
 
-def _subsets(devices: Column) -> Column:
-    """All non-empty subsets of a short sorted array."""
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(devices)).cast("int") - 1)
-    bits = F.array(*[F.lit(1 << i) for i in range(MAX_DEVICES)])
-    return F.transform(
-        masks, lambda m: F.filter(devices, lambda d, i: m.bitwiseAND(F.get(bits, i)) != 0)
-    )
+def shared_subsets(u: DataFrame) -> DataFrame:
+    """(account_id, _subset): every device set, sorted, that the account and at least one other account hold.
+
+    The lattice is grown level by level (a set held by two accounts has all its subsets
+    held by them too): the sets of one level are extended by a larger shared device of the
+    same account, and kept where two accounts hold the extension. Accounts with many
+    devices pay only for the sets they really share; a hub device met by every account is
+    one set of level one. Sets are counted with partial sums and joined by `attach`, so a
+    set held by a third of all accounts is spread over many tasks.
+    """
+    held = u.groupBy("device_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    shared, seen = materialise_with(attach(u, held, "device_id", how="inner", weight="_n").select("account_id", "device_id"))
+    level = shared.select("account_id", F.array("device_id").alias("_subset"), F.col("device_id").alias("_last"))
+    levels = [level]
+    rows = seen["rows"]
+    while rows:
+        grown = attach(level, shared.select("account_id", F.col("device_id").alias("_d")), "account_id", how="inner")
+        grown = grown.where(F.col("_d") > F.col("_last")).select(
+            "account_id", F.concat("_subset", F.array("_d")).alias("_subset"), F.col("_d").alias("_last")
+        )
+        counts = grown.groupBy("_subset").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        level, seen = materialise_with(attach(grown, counts, "_subset", how="inner", weight="_n").select(
+            "account_id", "_subset", "_last"
+        ))
+        rows = seen["rows"]
+        if rows:
+            levels.append(level)
+    out = levels[0]
+    for more in levels[1:]:
+        out = out.unionByName(more)
+    return out.select("account_id", "_subset")
 
 
-def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int | None = None) -> Sharing:
+def sharing(df: DataFrame, rows_per_copy: int | None = None) -> Sharing:
     """Build the compressed neighbour relation of a transaction table."""
     rows_per_copy = rows_per_copy or skew.HOT_ROWS
-    max_devices = min(max_devices, MAX_DEVICES)
     pairs = pairs_of(df)
-    u = pairs.uses
-    sizes = u.groupBy("account_id").agg(F.count(F.lit(1)).alias("_k"))
-    many, seen = materialise_with(sizes.where(F.col("_k") > max_devices))
-    heavy = seen["rows"] > 0
-    light = attach(u, many, "account_id", how="left_anti", right_rows=seen["rows"]) if heavy else u
-    members = (
-        light.groupBy("account_id").agg(F.sort_array(F.collect_set("device_id")).alias("_devices"))
-        .select("account_id", F.explode(_subsets(F.col("_devices"))).alias("_subset"))
-    )
+    members = shared_subsets(pairs.uses)
     popular = (
-        members.groupBy("_subset").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        members.groupBy("_subset").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("grp", F.monotonically_increasing_id())
     )
     groups, seen_groups = materialise_with(
@@ -176,20 +193,6 @@ def sharing(df: DataFrame, max_devices: int = MAX_DEVICES, rows_per_copy: int |
         )
     )
     outward = groups.withColumn("itself", F.lit(False)).unionByName(accounts.withColumn("itself", F.lit(True)))
-    if heavy:
-        hubs = attach(u, many, "account_id", how="left_semi", right_rows=seen["rows"]).select(
-            F.col("account_id").alias("dst"), "device_id"
-        )
-        one_way = attach(u.withColumnRenamed("account_id", "src"), hubs, "device_id", how="inner").where(
-            "src <> dst"
-        ).select("src", "dst")
-        other_way = one_way.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-        listed = one_way.unionByName(other_way).distinct()
-        of_dst = accounts.select(F.col("account_id").alias("dst"), "grp")
-        listed = attach(listed, of_dst, "dst", how="inner", right_rows=seen_accounts["rows"])
-        outward = outward.unionByName(listed.select(
-            "grp", F.col("src").alias("account_id"), F.lit(1).alias("sign"), F.lit(False).alias("itself")
-        ))
     outward, seen_out = materialise_with(outward)
     copies = outward.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_copy)).alias("copies"))
     copies, seen_copies = materialise_with(copies)
