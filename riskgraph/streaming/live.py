@@ -95,27 +95,47 @@ def latest(rows: DataFrame, most: int = FEED_ROWS) -> DataFrame:
     return rows.orderBy(F.desc("timestamp"), F.desc("transaction_id")).limit(most)
 
 
-def recent_feed(df: DataFrame, label: str = "feed", most: int = FEED_ROWS) -> DataFrame:
-    """Keep the newest `most` scored rows over all batches.
-
-    A batch reads the feed its predecessor left and writes its own folder; the feed is
-    never longer than `most` rows.
+def _feed_folders(spark: SparkSession, path: str) -> dict[int, str]:
+    """{batch id: folder} of the finished feeds written under `path`."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    found = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("batch-") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+            found[int(name[len("batch-"):])] = status.getPath().toString()
+    return found
+
+
+def recent_feed(df: DataFrame, label: str = "feed", most: int = FEED_ROWS, path: str | None = None) -> DataFrame:
+    """Keep the newest `most` scored rows over all batches, also across restarts.
+
+    The feed is a numbered manifest: batch n writes `path/batch-n` from its rows and the
+    feed of the highest finished batch before n, found by listing the folder. State is
+    therefore on the shared file system and not in the driver: a query started again on
+    the same `path` (its checkpoint is `path-state`) continues the feed it left, and a
+    retried batch rewrites its own folder from the same predecessor. The feed is never
+    longer than `most` rows.
     """
     spark = df.sparkSession
-    path = new_path(spark, label)
-    last = {"at": None, "before": None}
+    path = path or new_path(spark, label)
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        target = f"{path}/batch-{batch_id}"
-        before = last["before"] if last["at"] == target else last["at"]
-        rows = batch if before is None else batch.unionByName(batch.sparkSession.read.schema(df.schema).parquet(before))
-        latest(rows, most).write.mode("overwrite").parquet(target)
-        last.update(at=target, before=before)
+        earlier = [n for n in _feed_folders(batch.sparkSession, path) if n < batch_id]
+        rows = batch
+        if earlier:
+            rows = batch.unionByName(batch.sparkSession.read.schema(df.schema).parquet(f"{path}/batch-{max(earlier)}"))
+        latest(rows, most).write.mode("overwrite").parquet(f"{path}/batch-{batch_id}")
 
     query = (
         df.writeStream.foreachBatch(keep).option("checkpointLocation", f"{path}-state")
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    kept = spark.read.schema(df.schema).parquet(last["at"]) if last["at"] else spark.createDataFrame([], df.schema)
-    return latest(kept, most)
+    done = _feed_folders(spark, path)
+    if not done:
+        return spark.createDataFrame([], df.schema)
+    return latest(spark.read.schema(df.schema).parquet(done[max(done)]), most)

@@ -47,3 +47,22 @@ def test_stats_and_feed_and_alerts(spark, folder):
 def test_stats_of_nothing(spark):
     empty = spark.createDataFrame([], "fraud_probability double, risk_level string")
     assert set(live.live_stats(empty).first()) == {0}
+
+
+def test_feed_survives_a_restart(spark, sf, tmp_path):
+    """Two files arrive, the query stops; a third arrives and a new query on the same path goes on."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    source = tmp_path / "in"
+    first, second, third = events.randomSplit([1.0, 1.0, 1.0], seed=3)
+    for part in (first, second):
+        part.coalesce(1).write.mode("append").parquet(f"{source}/events.parquet")
+    feed = str(tmp_path / "feed")
+
+    def run():
+        return live.recent_feed(demo(live.read_event_stream(spark, str(source), files_per_batch=1)), most=5, path=feed)
+
+    run()
+    third.coalesce(1).write.mode("append").parquet(f"{source}/events.parquet")
+    got = run()
+    everything = demo(fx.events_to_transactions(events))
+    assert rows(got) == rows(live.latest(everything, 5))
