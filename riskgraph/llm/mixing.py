@@ -32,10 +32,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 LONGEST_TIMES = 4
 
 
-def sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size)."""
+def sizes(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, source, size, *keep)."""
     words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD))
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), words.cast("bigint").alias("size"))
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), words.cast("bigint").alias("size"),
+                       *keep)
 
 
 def targets(words: Sequence[int], share: float, most: float, weights: Sequence[int] = WEIGHTS) -> list[float]:
@@ -117,9 +118,9 @@ def _plan(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[["source", "size", "n", "rounds", "more"]]
 
 
-def mix(docs: DataFrame, share: float = 1.5, most: int = 2, seed: int = 7) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, times) of every document; taken = size x times."""
-    rows = materialise(sizes(docs))
+def mix(docs: DataFrame, share: float = 1.5, most: int = 2, seed: int = 7, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, times, *keep) of every document; taken = size x times."""
+    rows = materialise(sizes(docs, keep))
     counts = materialise(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     # one row for each source comes to the driver: sources are names that a person weights
     listed = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("w")).collect()
@@ -145,15 +146,19 @@ def mix(docs: DataFrame, share: float = 1.5, most: int = 2, seed: int = 7) -> Da
         F.col("rounds") + (F.col("position") - F.col("_first") < F.col("more")).cast("int"))
     return (
         placed.join(groups, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z")), "left")
-        .select("doc_id", "source", "size", times.cast("bigint").alias("times"))
+        .select("doc_id", "source", "size", times.cast("bigint").alias("times"), *keep)
         .join(side, same)
-        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times")
+        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times", *keep)
     )
 
 
 def take(docs: DataFrame, share: float = 1.5, most: int = 2, seed: int = 7) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, with their columns; ids must not repeat."""
-    chosen = materialise(mix(docs, share, most, seed).where("times > 0").select("doc_id", "times"))
-    chosen = chosen.withColumnsRenamed({"doc_id": "_id", "times": "_times"})
-    found = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(*docs.columns)
+    """The rows of `docs` as often as the mix takes them, with their columns.
+
+    Rows are matched to the mix by a row number, not by id, so repeated ids and
+    repeated rows are each taken as often as the mix says, never multiplied by each other.
+    """
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
+    chosen = mix(numbered, share, most, seed, keep=("_row",)).where("times > 0").select("_row", "times")
+    found = numbered.join(chosen, "_row")
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times")))).select(*docs.columns)

@@ -189,7 +189,16 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
-    """The rows of `docs` whose id names their component, with all their columns; rows without an id stay."""
-    found = materialise(near_duplicates(docs, words))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates stays, with all its columns: that of the smallest doc_id.
+
+    Rows are numbered and grouped by number, so two rows with one id but different texts
+    are judged apart. Ties (repeated rows, or one id in a group twice) go to the smaller
+    row number; a row without id loses to any row with one, and of a group of rows without
+    ids one stays.
+    """
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()))
+    found = materialise(near_duplicates(numbered.select(F.col("_row").alias("doc_id"), "text"), words))
+    rows = found.select(F.col("doc_id").alias("_row"), "component_id").join(numbered.select("_row", "doc_id"), "_row")
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
+    winners = rows.groupBy("component_id").agg(F.min(rank)["_row"].alias("_row"))
+    return numbered.join(winners, "_row").select(*docs.columns)

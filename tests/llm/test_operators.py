@@ -292,3 +292,27 @@ def test_describe_is_the_same_alone_and_in_a_block():
     for i, t in enumerate(texts):
         alone, _ = quality.describe([t])
         assert np.allclose(together[first[i]:first[i] + len(alone)], alone, atol=1e-6)
+
+
+def test_keep_one_judges_rows_not_ids(spark):
+    rows = [(5, "alpha beta gamma delta epsilon", "s"), (5, "one two three four five six", "s"),
+            (3, "one two three four five six", "s"), (7, "same same text here now", "s"), (7, "same same text here now", "s"),
+            (None, "nothing like the others at all", "s"), (None, "one two three four five six", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    kept = sorted((tuple(r) for r in simhash.keep_one(docs.withColumn("doc_id_2", docs["doc_id"])).drop("doc_id_2").collect()),
+                  key=key)
+    assert kept == sorted([(5, "alpha beta gamma delta epsilon", "s"), (3, "one two three four five six", "s"),
+                           (7, "same same text here now", "s"), (None, "nothing like the others at all", "s")],
+                          key=key)
+
+
+def test_take_repeats_rows_as_the_mix_says(spark):
+    rows = [(1, "a b", "x"), (1, "c d e", "x"), (1, "a b", "x"), (2, "f", "y"), (3, "g h i j", "z"), (None, "k", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.take(docs).collect()
+    planned = mixing.mix(docs).agg({"times": "sum"}).first()[0]
+    assert len(taken) == planned
+    counts = Counter(tuple(r) for r in taken)
+    for row, n in Counter(rows).items():
+        assert counts.get(row, 0) <= 2 * n
