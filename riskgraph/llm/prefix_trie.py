@@ -1,10 +1,14 @@
 """Prefix trie of conversations by truncation peeling.
 
 A node of depth d is a distinct sequence of the first d turns (role, text); its members are
-the conversations that start with it. The trie is found bottom-up: starting at the deepest
-level, the conversations that end at a depth are merged with the nodes that survive from
-the level below, whose last turn is stripped so that they regroup under their parent. One
-aggregation per level discovers the nodes of that level and their subtree totals at once.
+the conversations that start with it. Every conversation is peeled from its last turn
+upward: each prefix (the conversation with its last turns stripped) regroups with the
+equal prefixes of the others, and one aggregation over all (conversation, depth) rows
+discovers the nodes of every depth at once, with members, smallest member, parent and the
+conversations that end there. Subtree totals follow from the same peeling: a node is owned
+by its smallest member, which owns every deeper node of its own path too, so a running sum
+along each conversation from its deepest turn upward, summed over a node's members, is the
+total of the node's subtree. The number of Spark jobs does not depend on the depth.
 
 Node identity is a pair of position-salted 64-bit hash sums over the turns of the prefix,
 formed by a running sum per conversation, so no prefix is ever materialised as text; two
@@ -127,52 +131,59 @@ def trie(conversations: DataFrame) -> DataFrame:
     frame = prefix_rows(rebuilt)
     frame.write.partitionBy("d").parquet(path)
     rows = spark.read.schema(frame.schema).parquet(path)
-    deepest = rows.agg(F.max("d")).first()[0] or 0
-    levels = []
-    survivors = None
-    for d in range(deepest, -1, -1):
-        if d > 0:
-            here = rows.where(F.col("d") == d)
-            ended = here.where("ends").select("key", F.lit(1).cast("long").alias("n_convs"), F.col("c").alias("conv_id"))
-        else:
-            here = None
-            ended = turnless.select(F.lit("").alias("key"), F.lit(1).cast("long").alias("n_convs"), F.col("c").alias("conv_id"))
-        items = ended.select("*", *(F.lit(0).cast("long").alias(x) for x in ("is_child", "leaves", "saved")))
-        if survivors is not None:
-            items = items.unionByName(survivors.select(
-                F.col("parent").alias("key"), "n_convs", "conv_id", F.lit(1).cast("long").alias("is_child"),
-                F.col("n_leaves").alias("leaves"), F.col("saved_tokens").alias("saved"),
-            ))
-        grouped = items.groupBy("key").agg(
-            F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.sum("is_child").alias("n_children"),
-            F.sum("leaves").alias("leaves"), F.sum("saved").alias("saved"),
-        )
-        if here is not None:
-            last = here.select(F.col("c").alias("_c"), "parent", "w")
-            grouped = grouped.join(last, F.col("conv_id") == F.col("_c")).drop("_c")
-        else:
-            grouped = grouped.select("*", F.lit(None).cast("string").alias("parent"), F.lit(0).cast("long").alias("w"))
-        nodes = grouped.select(
-            F.lit(d).cast("long").alias("depth"), "key", "parent", "conv_id", "n_convs", "n_children",
-            F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.col("leaves")).cast("long").alias("n_leaves"),
-            (F.col("saved") + (F.col("n_convs") - 1) * F.col("w")).cast("long").alias("saved_tokens"),
-        )
-        survivors = materialise(nodes)
-        levels.append(survivors)
-    if not levels:
-        return spark.createDataFrame([], _SCHEMA)
-    every = levels[0]
-    for lvl in levels[1:]:
-        every = every.unionByName(lvl)
-    parents = every.select((F.col("depth") + 1).alias("_d"), F.col("key").alias("_p"), F.col("conv_id").alias("parent_conv_id"))
+    turnless = materialise(turnless)
+
+    # Discover the nodes of every depth: members, smallest member, parent, last turn's words, ends.
+    nodes = rows.groupBy("d", "key").agg(
+        F.count(F.lit(1)).alias("n_convs"), F.min("c").alias("conv_id"), F.first("parent").alias("parent"),
+        F.first("w").alias("w"), F.sum(F.col("ends").cast("long")).alias("n_ends"),
+    )
+    children = nodes.groupBy((F.col("d") - 1).alias("_d"), F.col("parent").alias("_k")).agg(
+        F.count(F.lit(1)).alias("n_children"))
+    nodes = materialise(
+        nodes.join(children, (F.col("d") == F.col("_d")) & (F.col("key") == F.col("_k")), "left")
+        .select("d", "key", "n_convs", "conv_id", "parent", "w", "n_ends",
+                F.coalesce("n_children", F.lit(0)).cast("long").alias("n_children"))
+    )
+    # Peeling from each conversation's last turn upward: a node is counted once, by its smallest
+    # member, which is a member of every node of its own path from there down; so the subtree
+    # totals of a node are sums, over its members, of what they own from its depth down.
+    owned = nodes.select(
+        F.col("conv_id").alias("c"), "d", ((F.col("n_convs") - 1) * F.col("w")).alias("_saved"),
+        (F.col("n_children") == 0).cast("long").alias("_leaf"),
+    )
+    below = Window.partitionBy("c").orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, 0)
+    peeled = rows.select("c", "d", "key").join(owned, ["c", "d"], "left").select(
+        "d", "key", "c",
+        F.sum(F.coalesce("_saved", F.lit(0))).over(below).alias("_saved"),
+        F.sum(F.coalesce("_leaf", F.lit(0))).over(below).alias("_leaves"),
+    )
+    totals = materialise(peeled.groupBy("d", "key").agg(F.sum("_saved").alias("saved_tokens"), F.sum("_leaves").alias("n_leaves")))
+    root_from = peeled.where(F.col("d") == 1)
+    top = nodes.where(F.col("d") == 1).agg(F.count(F.lit(1)).alias("n_children"))
+    conv_count = root_from.agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("m"), F.sum("_saved").alias("s"),
+                               F.sum("_leaves").alias("l"))
+    ends_at_root = turnless.agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("m"))
+    root = conv_count.crossJoin(ends_at_root.withColumnsRenamed({"n": "tn", "m": "tm"})).crossJoin(top).select(
+        F.lit(0).cast("long").alias("d"), F.lit("").alias("key"), (F.col("n") + F.col("tn")).alias("n_convs"),
+        F.least("m", "tm").alias("conv_id"), F.lit(None).cast("string").alias("parent"), "n_children",
+        F.when(F.col("n_children") == 0, F.lit(1)).otherwise(F.coalesce("l", F.lit(0))).cast("long").alias("n_leaves"),
+        F.coalesce("s", F.lit(0)).cast("long").alias("saved_tokens"),
+    )
+    every = nodes.join(totals, ["d", "key"]).select(
+        F.col("d").cast("long").alias("d"), "key", "n_convs", "conv_id", "parent", "n_children", "n_leaves", "saved_tokens"
+    ).unionByName(root.where(F.col("n_convs") > 0))
+    every = materialise(every)
+    parents = every.select((F.col("d") + 1).alias("_d"), F.col("key").alias("_p"), F.col("conv_id").alias("parent_conv_id"))
     ended = rows.where("ends").select("d", "key", "c").unionByName(turnless.select(F.lit(0).alias("d"), F.lit("").alias("key"), "c"))
     digests = _ends_digest(ended).select(F.col("d").alias("_ed"), F.col("key").alias("_ek"), "ends_sha256")
     out = (
-        every.join(parents, (F.col("depth") == F.col("_d")) & (F.col("parent") == F.col("_p")), "left")
-        .join(digests, (F.col("depth") == F.col("_ed")) & (F.col("key") == F.col("_ek")), "left")
+        every.join(parents, (F.col("d") == F.col("_d")) & (F.col("parent") == F.col("_p")), "left")
+        .join(digests, (F.col("d") == F.col("_ed")) & (F.col("key") == F.col("_ek")), "left")
     )
-    return out.where(F.col("n_convs") > 0).select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+    return out.select(
+        "conv_id", F.col("d").alias("depth"), "parent_conv_id", F.col("n_convs").cast("long").alias("n_convs"),
+        "n_children", "n_leaves", F.col("saved_tokens").cast("long").alias("saved_tokens"),
         F.coalesce("ends_sha256", F.lit(EMPTY_SHA256)).alias("ends_sha256"),
     )
 
