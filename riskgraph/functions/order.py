@@ -156,3 +156,63 @@ def with_total_before(df: DataFrame, order: Sequence[str], value: str, name: str
     return numbered.join(F.broadcast(offsets), "_part").select(
         *df.columns, (F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0))).alias(name)
     )
+
+
+#: Bits of a 52-bit key resolved per pass of `rank_limits`: 4,096 counts per wanted rank.
+LIMIT_BITS = 12
+KEY_BITS = 52
+
+
+def rank_limits(
+    df: DataFrame, group: str, key: str, tie: str, wanted: Sequence[tuple[object, int]]
+) -> dict[tuple[object, int], tuple[int, str | None]]:
+    """For each (group value, rank), the (key, tie) of the row at that 0-based rank, all found together.
+
+    `key` is an integer column in [0, 2**52). Every pass counts the rows of all wanted
+    ranks at once in 4,096 buckets of their current range (one aggregate, its rows
+    bounded by ranks x 4,096), so five passes settle the key of every rank; one more
+    query counts the distinct `tie` values of the settled keys. Six collects in all. Rows with equal key and
+    tie are never split: a limit includes all of them.
+    """
+    ranges = {w: (0, KEY_BITS, 0) for w in wanted}  # lowest key, bits still open, rows below
+    spark = df.sparkSession
+    while any(bits > 0 for _, bits, _ in ranges.values()):
+        open_ = [(i, w, *ranges[w]) for i, w in enumerate(wanted) if ranges[w][1] > 0]
+        shift = {i: max(bits - LIMIT_BITS, 0) for i, _, _, bits, _ in open_}
+        targets = spark.createDataFrame(
+            [(i, g, lo, lo + (1 << bits), shift[i]) for i, (g, _), lo, bits, _ in open_],
+            f"_t int, _g {df.schema[group].dataType.simpleString()}, _lo long, _hi long, _shift int",
+        )
+        hits = df.select(group, key).join(
+            F.broadcast(targets),  # one row per wanted rank
+            F.col(group).eqNullSafe(F.col("_g")) & (F.col(key) >= F.col("_lo")) & (F.col(key) < F.col("_hi")),
+        )
+        counts: dict[int, list] = {}
+        for r in hits.groupBy("_t", F.expr(f"shiftright(`{key}` - _lo, _shift)").alias("_b")).agg(
+            F.count(F.lit(1)).alias("_n")
+        ).collect():
+            counts.setdefault(r["_t"], []).append((r["_b"], r["_n"]))
+        for i, w, lo, bits, below in open_:
+            for b, n in sorted(counts.get(i, [])):
+                if below + n > w[1]:
+                    ranges[w] = (lo + (b << shift[i]), shift[i], below)
+                    break
+                below += n
+            else:
+                raise ValueError(f"rank {w[1]} is outside group {w[0]!r}")
+    settled = spark.createDataFrame(
+        list({(w[0], ranges[w][0]) for w in wanted}), f"_g {df.schema[group].dataType.simpleString()}, _v long"
+    )
+    tied = df.join(F.broadcast(settled), F.col(group).eqNullSafe(F.col("_g")) & (F.col(key) == F.col("_v")))
+    found: dict[tuple, list] = {}
+    for r in tied.groupBy("_g", "_v", tie).agg(F.count(F.lit(1)).alias("_n")).collect():
+        found.setdefault((r["_g"], r["_v"]), []).append((r[tie], r["_n"]))
+    out = {}
+    for w in wanted:
+        value, _, below = ranges[w]
+        for t, n in sorted(found[(w[0], value)], key=lambda x: (x[0] is not None, x[0])):
+            below += n
+            if below > w[1]:
+                out[w] = (value, t)
+                break
+    return out

@@ -61,10 +61,23 @@ def test_split_sizes(table):
     assert fit_part.join(rest, "transaction_id").count() == 0
 
 
-def test_split_with_tied_hashes(spark):
-    df = spark.createDataFrame([("same", 0)] * 1 + [(f"r{i}", 0) for i in range(9)], "transaction_id string, label int")
-    inside = training._cut(df, F.lit(0.5), "transaction_id", 4)
-    assert df.where(inside).count() == 4
+def test_rank_limits_of_many_groups_in_six_collects(spark, monkeypatch):
+    from riskgraph.functions.order import rank_limits
+
+    rows = [(g, (i * 7919) % 50 if g == 2 else (i * 104729) % (1 << 52), f"r{i:04d}") for g in range(3) for i in range(400)]
+    rows += [(1, 5, None), (1, 5, "a"), (1, 5, "a")]
+    df = spark.createDataFrame(rows, "g int, k long, id string")
+    wanted = [(g, r) for g in range(3) for r in (0, 57, 199, 399)] + [(1, 402)]
+    calls = []
+    real = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: calls.append(1) or real(self))
+    got = rank_limits(df, "g", "k", "id", wanted)
+    monkeypatch.undo()
+    assert len(calls) == 6
+    for g, r in wanted:
+        ordered = sorted((k, i is not None, i or "") for gg, k, i in rows if gg == g)
+        k, has, i = ordered[r]
+        assert got[(g, r)] == (k, i if has else None)
 
 
 @pytest.mark.parametrize("exact", [True, False])
