@@ -83,16 +83,36 @@ def account_profile(df: DataFrame, part_rows: int = PROFILE_PART_ROWS) -> DataFr
     )
 
 
-def shared_device_edges(df: DataFrame) -> DataFrame:
+#: Pairs one cell of the device grid produces at most (in expectation; parts are hashed).
+PAIRS_PER_CELL = 1_000_000
+
+
+def device_grid(u: DataFrame, pairs_per_cell: int = PAIRS_PER_CELL) -> DataFrame:
+    """(device_id, src, dst, _i, _j): every ordered pair of accounts of a device, in grid cells.
+
+    A device of n accounts is cut into a = ceil(n / sqrt(pairs_per_cell)) parts by a hash
+    of the account. The cell (i, j) joins part i as source with part j as destination, so
+    it holds about (n / a)^2 <= pairs_per_cell pairs: a cell's output is fixed whatever
+    the size of the device. Each account row is copied a times on either side, so the
+    input of the join grows as n * a and not as its n^2 output.
+    """
+    n = u.groupBy("device_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    parts = n.select("device_id", "_n", F.ceil(F.col("_n") / F.lit(float(pairs_per_cell) ** 0.5)).cast("int").alias("_a"))
+    sized = attach(u, parts, "device_id", how="inner", weight="_n")
+    part = F.pmod(F.xxhash64("account_id", F.lit(11)), F.col("_a")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_a") - 1))
+    left = sized.select("device_id", F.col("account_id").alias("src"), part.alias("_i"), every.alias("_j"))
+    right = sized.select("device_id", F.col("account_id").alias("dst"), every.alias("_i"), part.alias("_j"))
+    return left.join(right, ["device_id", "_i", "_j"]).where("src <> dst")
+
+
+def shared_device_edges(df: DataFrame, pairs_per_cell: int = PAIRS_PER_CELL) -> DataFrame:
     """Every ordered pair of accounts sharing a device, as the export of the graph.
 
-    The self-join is spread: accounts of a popular device are met by its other
-    accounts in several tasks.
+    Pairs are made in the cells of `device_grid`, so a popular device is spread over
+    many tasks of bounded output; pairs met on several devices are kept once.
     """
-    u = uses(df)
-    left = u.withColumnRenamed("account_id", "src")
-    right = u.withColumnRenamed("account_id", "dst")
-    return attach(left, right, "device_id", how="inner").where("src <> dst").select("src", "dst").distinct()
+    return device_grid(uses(df), pairs_per_cell).select("src", "dst").distinct()
 
 
 @dataclass

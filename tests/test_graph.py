@@ -184,3 +184,16 @@ def test_hub_device_of_accounts_with_many_devices(make_transactions):
     assert memberships == 7 * n <= len(rows)
     degrees = as_dict(sharing.sharing(df).degrees(), "account_id", "connected_accounts")
     assert degrees == {f"a{i:05d}": n - 1 for i in range(n)}
+
+
+def test_grid_cells_of_a_hub_device_are_bounded(make_transactions):
+    """One device of 1,500 accounts: 2,247,000 pairs in cells of at most about 40,000."""
+    rows = [(f"a{i:05d}", "hub") for i in range(1500)] + [("a00001", "d2"), ("b", "d2"), ("c", "d3")]
+    df = make_transactions(rows)
+    grid = sharing.device_grid(sharing.uses(df), pairs_per_cell=40_000)
+    cells = grid.groupBy("device_id", "_i", "_j").count().toPandas()
+    hub = cells[cells["device_id"] == "hub"]
+    assert len(hub) == 64 and hub["count"].max() <= 1.5 * 40_000  # a = ceil(1500 / 200) = 8 parts
+    assert hub["count"].sum() == 1500 * 1499
+    edges = sharing.shared_device_edges(df, pairs_per_cell=40_000)
+    assert edges.count() == 1500 * 1499 + 2
