@@ -10,9 +10,9 @@ by its smallest member, which owns every deeper node of its own path too, so a r
 along each conversation from its deepest turn upward, summed over a node's members, is the
 total of the node's subtree. The number of Spark jobs does not depend on the depth.
 
-Node identity is a pair of position-salted 64-bit hash sums over the turns of the prefix,
-formed by a running sum per conversation, so no prefix is ever materialised as text; two
-sums of 52-bit hashes make 104 bits, summed exactly as decimals.
+Node identity is four position-salted hash sums over the turns of the prefix, formed by a
+running sum per conversation, so no prefix is ever materialised as text; four sums of
+31-bit hashes make 124 bits, summed in longs without overflow.
 
 All steps are DataFrame aggregations and joins, except the SHA-256 of the conversations
 that end at a node: that hash is sequential by definition, so those ids are streamed in
@@ -32,13 +32,15 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskgraph.session import materialise, new_path
+from riskgraph.session import materialise
 
 #: Conversations are rebuilt on the first turns of the conversation that opens their block of 20.
 BLOCK = 20
 #: At most this many turns are borrowed (h = crc32 % 4 is at most 3).
 BORROW = 4
 WORD_GAPS = "[\\x20\\x09-\\x0D]+"
+#: Hash sums that name a node.
+KEY_SUMS = 4
 EMPTY_SHA256 = hashlib.sha256(b"").hexdigest()
 
 
@@ -79,18 +81,16 @@ def rebuild(conversations: DataFrame) -> DataFrame:
 
 
 def _turn_hash(salt: int):
-    h = F.xxhash64(F.lit(salt), F.col("d"), F.col("role"), F.col("text"))
-    return F.pmod(h, F.lit(1 << 52)).cast("decimal(38,0)")
+    """A 31-bit hash of a turn at its position: sums of 2^32 of them still fit a long."""
+    return F.pmod(F.xxhash64(F.lit(salt), F.col("d"), F.col("role"), F.col("text")), F.lit(1 << 31))
 
 
 def prefix_rows(rebuilt: DataFrame) -> DataFrame:
     """(c, d, key, parent, w, ends): the node of depth d each conversation passes, its parent, the last turn's words."""
     upto = Window.partitionBy("c").orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
-    keyed = rebuilt.select(
-        "c", "d", "n", words(F.col("text")).cast("long").alias("w"),
-        F.sum(_turn_hash(1)).over(upto).alias("k1"), F.sum(_turn_hash(2)).over(upto).alias("k2"),
-    )
-    key = F.concat_ws(":", F.col("k1").cast("string"), F.col("k2").cast("string"))
+    sums = [F.sum(_turn_hash(i)).over(upto).alias(f"k{i}") for i in range(KEY_SUMS)]
+    keyed = rebuilt.select("c", "d", "n", words(F.col("text")).cast("long").alias("w"), *sums)
+    key = F.concat_ws(":", *[F.col(f"k{i}").cast("string") for i in range(KEY_SUMS)])
     before = Window.partitionBy("c").orderBy("d")
     return keyed.select(
         "c", "d", key.alias("key"), F.coalesce(F.lag(key).over(before), F.lit("")).alias("parent"), "w",
@@ -127,10 +127,7 @@ def trie(conversations: DataFrame) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     spark = conversations.sparkSession
     rebuilt, turnless = rebuild(conversations)
-    path = new_path(spark, "prefixes")
-    frame = prefix_rows(rebuilt)
-    frame.write.partitionBy("d").parquet(path)
-    rows = spark.read.schema(frame.schema).parquet(path)
+    rows = materialise(prefix_rows(rebuilt))
     turnless = materialise(turnless)
 
     # Discover the nodes of every depth: members, smallest member, parent, last turn's words, ends.
