@@ -28,7 +28,6 @@ from riskgraph.functions import skew
 from riskgraph.functions.skew import attach
 from riskgraph.session import materialise, materialise_with
 
-PROFILE_PART_ROWS = 10_000
 
 
 def uses(df: DataFrame) -> DataFrame:
@@ -62,19 +61,16 @@ def visits(df: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def account_profile(df: DataFrame, part_rows: int = PROFILE_PART_ROWS) -> DataFrame:
-    """Nested profile: transactions of an account as an array, with its merchant and device sets.
+def account_profile(df: DataFrame) -> DataFrame:
+    """Nested profile: per account and calendar day (`part`), its transactions as an array, with
+    that day's merchant and device sets.
 
-    An account with more than `part_rows` transactions is spread over several
-    numbered parts, so no array has to hold an unbounded account.
+    One shape at every size: an account of five transactions and one of fifty thousand are
+    both cut by day, so no array holds more than one account's day. The account-wide sets
+    are tables of their own (`visits`, `uses`), not arrays. A null timestamp makes a part of
+    its own (null day).
     """
-    parts = df.groupBy("account_id").agg(F.count(F.lit(1)).alias("_n")).select(
-        "account_id", "_n", F.ceil(F.col("_n") / part_rows).alias("_parts")
-    )
-    spread = attach(df, parts, "account_id", weight="_n").withColumn(
-        "part", F.pmod(F.xxhash64("transaction_id"), F.col("_parts"))
-    )
-    return spread.groupBy("account_id", "part").agg(
+    return df.groupBy("account_id", F.to_date("timestamp").alias("part")).agg(
         F.collect_list(
             F.struct("transaction_id", "amount", "timestamp", "merchant_id", "device_id", "is_fraud")
         ).alias("transactions"),

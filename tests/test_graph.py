@@ -161,11 +161,15 @@ def test_louvain_splits_the_bridge(make_transactions):
     assert out[0]["modularity"] > 0
 
 
-def test_profile_parts(make_transactions):
-    df = make_transactions([("a", "1")] * 25 + [("b", "1")])
-    out = sharing.account_profile(df, part_rows=10).collect()
-    assert sum(len(r["transactions"]) for r in out) == 26
-    assert len([r for r in out if r["account_id"] == "a"]) > 1
+def test_profile_parts_by_day_at_every_size(make_transactions):
+    """5 and 50,000 rows per account give the same shape: one part per account and day."""
+    rows = [("small", "1", "m", 1.0, f"2024-01-0{1 + i % 3} 10:00:00") for i in range(5)]
+    rows += [("big", f"d{i % 7}", f"m{i % 11}", 2.0, f"2024-01-{1 + i % 20:02d} 1{i % 10}:00:00") for i in range(50_000)]
+    out = sharing.account_profile(make_transactions(rows)).toPandas()
+    assert out.groupby("account_id").size().to_dict() == {"small": 3, "big": 20}
+    assert out["transactions"].map(len).sum() == 50_005
+    assert out[out["account_id"] == "big"]["transactions"].map(len).max() == 2_500
+    assert list(out.columns) == ["account_id", "part", "transactions", "merchants", "devices"]
 
 
 def test_hub_device_of_accounts_with_many_devices(make_transactions):
