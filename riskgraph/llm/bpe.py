@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.llm.common import map_batches, utf8
 
-WORDS_KEPT = 500_000
-PAIRS_KEPT = 1_000_000
+#: Entries of the word and pair caches (words are at most LONG_WORD characters): some tens of MB a worker.
+WORDS_KEPT = 100_000
+PAIRS_KEPT = 200_000
 LONG_WORD = 64
 
 
@@ -221,11 +222,25 @@ def decode(df: DataFrame, ranks_file: str, pattern: str, ids: str = "ids", decod
     return _with_column(df, ids, decoded, one)
 
 
+def _round_trip(batch: pa.RecordBatch, ranks_file: str, pattern: str) -> tuple[list[bytes], list[bytes]]:
+    """Packed ids and their decoded bytes for the texts of a batch, by one codec in one worker."""
+    c = codec(ranks_file, pattern)
+    ids = [c.encode(t or "") for t in batch.column("text").to_pylist()]
+    return ids, [c.decode(i) for i in ids]
+
+
 def token_digests(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, encoded and decoded again."""
-    texts = docs.select("doc_id", F.col("text").cast("string"))
-    ids = encode(texts, ranks_file, pattern).select("doc_id", "ids")
-    return decode(ids, ranks_file, pattern).select(
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, encoded and decoded again.
+
+    Encoding and decoding run in one Arrow pass, so a task holds one Python worker and one codec.
+    """
+    def one(batch: pa.RecordBatch) -> dict:
+        ids, decoded = _round_trip(batch, ranks_file, pattern)
+        return {"doc_id": batch.column("doc_id"), "ids": ids, "decoded": decoded}
+
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    found = map_batches(texts, one, "doc_id long, ids binary, decoded binary")
+    return found.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -234,9 +249,15 @@ def token_digests(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
 
 
 def encode_ids(docs: DataFrame, ranks_file: str, pattern: str) -> DataFrame:
-    """(doc_id, source, n_tokens, ids, decoded_equal): the packed ids, and whether they decode to the text."""
-    texts = docs.select("doc_id", "source", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = decode(encode(texts, ranks_file, pattern), ranks_file, pattern)
-    return found.select(
-        "doc_id", "source", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.col("text").cast("binary")).alias("decoded_equal"))
+    """(doc_id, source, n_tokens, ids, decoded_equal): the packed ids, and whether they decode to the text.
+
+    One Arrow pass encodes and decodes, so a task holds one Python worker and one codec.
+    """
+    def one(batch: pa.RecordBatch) -> dict:
+        ids, decoded = _round_trip(batch, ranks_file, pattern)
+        texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
+        return {"doc_id": batch.column("doc_id"), "source": batch.column("source"), "n_tokens": [len(i) // 4 for i in ids],
+                "ids": ids, "decoded_equal": [d == t for d, t in zip(decoded, texts)]}
+
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("source").cast("string"), F.col("text").cast("string"))
+    return map_batches(texts, one, "doc_id long, source string, n_tokens long, ids binary, decoded_equal boolean")

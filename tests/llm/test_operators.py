@@ -255,6 +255,25 @@ def test_bpe_query_columns(encoder, docs, empty):
     assert bpe.token_digests(empty, path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_bpe_stage_encodes_and_decodes_in_one_pass(encoder, docs, empty):
+    c, lib = encoder
+    path = public_tokenizers.path(RANKS)
+    found = bpe.encode_ids(docs, path, public_tokenizers.PATTERN)
+    assert found.columns == ["doc_id", "source", "n_tokens", "ids", "decoded_equal"]
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = Counter()
+    for r in found.collect():
+        assert r["decoded_equal"]
+        got[(r["doc_id"], r["n_tokens"], tuple(np.frombuffer(r["ids"], "<u4").tolist()))] += 1
+    want = Counter()
+    for r in rows_of(docs.select("doc_id", "text")):
+        ids = lib.encode_ordinary(r["text"] or "")
+        want[(r["doc_id"], len(ids), tuple(ids))] += 1
+    assert got == want
+    assert bpe.encode_ids(empty, path, public_tokenizers.PATTERN).count() == 0
+
+
 def test_quality(spark, sf, docs, empty):
     table, labels = spark.read.parquet(f"{sf}/../sf0.01/documents.parquet"), spark.read.parquet(f"{sf}/../sf0.01/labels.parquet")
     model = quality.train(table, labels)
