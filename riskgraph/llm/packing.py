@@ -1,8 +1,8 @@
 """Best-fit packing of tokenised documents into sequences, planned on a histogram of lengths.
 
-A document's ids (a byte-level BPE tokenizer of the `tokenizers` library, no special tokens
-added, then id 0 as its end) are cut only if longer than a sequence: into pieces of
-`CAPACITY` ids, the first piece taking the remainder, so that it may be shorter. Full pieces
+A document's ids (the byte-level BPE vocabulary of a `tokenizers` file, no special tokens
+added, then id 0 as its end; encoded by tiktoken over the same vocabulary, see `_encoder`)
+are cut only if longer than a sequence: into pieces of `CAPACITY` ids, the first piece taking the remainder, so that it may be shorter. Full pieces
 fill a sequence alone. The short pieces are packed:
 
 1. their lengths are counted (at most CAPACITY - 1 distinct lengths, whatever the corpus);
@@ -23,6 +23,8 @@ gives no rows.
 
 from __future__ import annotations
 
+import base64
+import json
 import zlib
 from collections import defaultdict
 
@@ -40,28 +42,40 @@ END_ID = 0
 BLOCK = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-_TOKENIZERS: dict[str, object] = {}
+_ENCODERS: dict[tuple, object] = {}
 
 
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
-        from tokenizers import Tokenizer
+def _encoder(tokenizer_path: str, ranks_path: str, pattern: str):
+    """A tiktoken encoding of the vocabulary of `tokenizer_path`, with that file's special tokens.
 
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-    return _TOKENIZERS[path]
+    The `tokenizers` file defines the ids; `ranks_path` holds the same vocabulary as ranks,
+    which tiktoken encodes about four times faster (measured: 1,100 against 238 CPU
+    seconds a GB on this machine). A special token's string in a text is that token, as
+    `tokenizers` does by default. The test holds the ids against `tokenizers` itself.
+    """
+    key = (tokenizer_path, ranks_path, pattern)
+    if key not in _ENCODERS:
+        import tiktoken
+
+        with open(tokenizer_path, encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", []) if t.get("special")}
+        with open(ranks_path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        _ENCODERS[key] = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    return _ENCODERS[key]
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every piece of every document."""
 
     def cut(batches):
-        tok = _tokenizer(tokenizer_path)
+        tok = _encoder(tokenizer_path, ranks_path, pattern)
         for batch in batches:
             ids_col = batch.column("doc_id").to_pylist()
             texts = [t or "" for t in batch.column("text").to_pylist()]
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32")}
-            for doc_id, enc in zip(ids_col, tok.encode_batch(texts, add_special_tokens=False)):
-                ids = np.asarray(enc.ids + [END_ID], dtype="<u4")
+            for doc_id, enc in zip(ids_col, tok.encode_batch(texts, allowed_special="all", num_threads=1)):
+                ids = np.asarray(enc + [END_ID], dtype="<u4")
                 first = len(ids) % capacity or capacity
                 bounds = [0, *range(first, len(ids) + 1, capacity)]
                 for k, (a, b) in enumerate(zip(bounds, bounds[1:])):
@@ -127,10 +141,10 @@ def _plan_rows(groups) -> list[tuple]:
     return rows
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
     """Every piece with its sequence_id and offset; sequences hold at most `capacity` ids."""
     spark = start(docs.sparkSession)
-    cut = materialise(pieces(docs, tokenizer_path, capacity))
+    cut = materialise(pieces(docs, tokenizer_path, ranks_path, pattern, capacity))
     short = cut.where(F.col("length") < capacity)
     counts = {r["length"]: r["n"] for r in short.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     groups = plan(counts, capacity)

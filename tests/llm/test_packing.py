@@ -11,6 +11,8 @@ from tokenizers import Tokenizer
 from riskgraph.llm import packing
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ARGS = (PATH, RANKS, public_tokenizers.PATTERN)
 
 
 def best_fit(lengths, cap):
@@ -42,7 +44,7 @@ def test_plan_equals_item_by_item_best_fit():
 
 def _check(spark, rows, cap):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = packing.pack(df.withColumn("extra", df["text"]), PATH, cap).toPandas()
+    got = packing.pack(df.withColumn("extra", df["text"]), *ARGS, cap).toPandas()
     tok = Tokenizer.from_file(PATH)
     want = []
     for doc_id, text, _ in rows:
@@ -74,9 +76,12 @@ def test_pack_pieces_and_sequences(spark):
     rows = [(i, None if i % 17 == 0 else "".join(random.choice(words) for _ in range(random.randint(0, 120))), "s")
             for i in range(300)]
     rows += [(1000, "long text " * 400, "s"), (1001, "", "s"), (5, "same", "s"), (5, "same", "s"), (None, "no id", "s")]
+    odd = [" a  b \n c\n d", "x \ny z", "a" * 5000, "0" * 3000, " " * 50 + "\n\n\t x", "it's we'll 'S",
+           "a<|endoftext|>b", "<|endoftext|><|endoftext|>", "\u00e9\u4e2d\U0001F600 mixed", "\r\n\x00 ctrl"]
+    rows += [(2000 + i, t, "s") for i, t in enumerate(odd)]
     _check(spark, rows, 64)
 
 
 def test_pack_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
-    assert packing.pack(df, PATH).count() == 0
+    assert packing.pack(df, *ARGS).count() == 0
