@@ -2,8 +2,8 @@
 
 A document's ids (the byte-level BPE vocabulary of a `tokenizers` file, no special tokens
 added, then id 0 as its end; encoded by tiktoken over the same vocabulary, see `_encoder`)
-are cut only if longer than a sequence: into pieces of `CAPACITY` ids, the first piece taking the remainder, so that it may be shorter. Full pieces
-fill a sequence alone. The short pieces are packed:
+are cut only if longer than a sequence: into pieces of `CAPACITY` ids, the first piece
+taking the remainder, so that it may be shorter. Full pieces fill a sequence alone. The short pieces are packed:
 
 1. their lengths are counted (at most CAPACITY - 1 distinct lengths, whatever the corpus);
 2. best-fit decreasing runs over those counts: a run of equal items goes into the bins of
