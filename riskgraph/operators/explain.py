@@ -16,7 +16,6 @@ from riskgraph.operators.encode import clean_numeric, model_columns, prepare_mat
 from riskgraph.operators.training import BOOSTED, RiskModel
 from riskgraph.session import new_path
 
-SAMPLE_ROWS = 5000
 PROXY_SAMPLE_SEED = 42
 
 
