@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskgraph.functions.order import with_row_position
 from riskgraph.schemas import TRANSACTION_SCHEMA
 from riskgraph.sources.cards import card_to_transactions
 
@@ -16,6 +17,20 @@ def read_transactions_csv(spark: SparkSession, path: str, schema=TRANSACTION_SCH
     )
 
 
+def read_transactions(spark: SparkSession, path: str, schema=TRANSACTION_SCHEMA) -> DataFrame:
+    """Header CSV as `read_transactions_csv`, with `_seq`: the input order, gapless from 0.
+
+    The order is the file path, then the place in the file (start of the split, then the
+    row within it), so it is the order of the lines whatever the split sizes; the positions
+    come from a distributed sort. The batch job (`plans.pipeline.full_run`) can read this directly.
+    """
+    raw = read_transactions_csv(spark, path, schema).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    return with_row_position(raw, ["_file", "_start", "_row"], "_seq").drop("_file", "_start", "_row")
+
+
 def normalise_layout(df: DataFrame, **card_options) -> DataFrame:
     """Card-layout tables become transactions, anything else passes unchanged."""
     if {"V1", "Class"} <= set(df.columns):
