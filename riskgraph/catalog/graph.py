@@ -55,15 +55,16 @@ UNION ALL SELECT i.source, i.target, p.parent FROM inner_nodes i JOIN parents p
 part("inner_counts", "SELECT node, count(*) AS c FROM inner_nodes GROUP BY node")
 
 
-@query("graph_account_profile", """SELECT account_id, cast(timestamp AS date) AS part, cast(count(*) AS int) AS txn_count,
+@query("graph_account_profile", """SELECT account_id, cast(0 AS bigint) AS part, cast(count(*) AS int) AS txn_count,
  round(sum(amount), 6) AS total_amount,
  string_agg(DISTINCT merchant_id, ',' ORDER BY merchant_id) AS merchants,
- string_agg(DISTINCT device_id, ',' ORDER BY device_id) AS devices FROM transactions GROUP BY account_id, cast(timestamp AS date)""")
+ string_agg(DISTINCT device_id, ',' ORDER BY device_id) AS devices FROM transactions GROUP BY account_id""")
 def graph_account_profile(spark, sf):
-    total = F.aggregate("transactions", F.lit(0.0), lambda s, t: s + t["amount"])
-    return sharing.account_profile(fx.transactions(spark, sf)).select(
-        "account_id", "part", F.size("transactions").alias("txn_count"), r6(total).alias("total_amount"),
-        F.array_join("merchants", ",").alias("merchants"), F.array_join("devices", ",").alias("devices"),
+    """The whole account, whatever its size: the parts of its days put together."""
+    parts = sharing.account_profile(fx.transactions(spark, sf))
+    return sharing.whole_profile(parts).select(
+        "account_id", F.lit(0).cast("bigint").alias("part"), F.col("txn_count").cast("int").alias("txn_count"),
+        r6("total_amount"), F.array_join("merchants", ",").alias("merchants"), F.array_join("devices", ",").alias("devices"),
     )
 
 

@@ -79,6 +79,28 @@ def account_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def whole_profile(parts: DataFrame) -> DataFrame:
+    """(account_id, txn_count, total_amount, merchants, devices): the parts of `account_profile` put together,
+    one row per account with all its merchants and devices. The transactions stay in the parts."""
+    amounts = F.filter(F.transform("transactions", lambda t: t["amount"].cast("double")), lambda a: a.isNotNull())
+    total = F.when(F.size(amounts) > 0, F.aggregate(amounts, F.lit(0.0), lambda s, a: s + a))
+
+    def entry(n=F.lit(None), total=F.lit(None), merchant=F.lit(None), device=F.lit(None)) -> Column:
+        return F.struct(n.cast("bigint").alias("n"), total.cast("double").alias("total"),
+                        merchant.cast("string").alias("merchant"), device.cast("string").alias("device"))
+
+    entries = F.concat(
+        F.array(entry(n=F.size("transactions"), total=total)),
+        F.transform("merchants", lambda m: entry(merchant=m)), F.transform("devices", lambda d: entry(device=d)),
+    )
+    # One entry per part, merchant and device: the sets are merged by partial aggregates, not from whole arrays.
+    return parts.select("account_id", F.explode(entries).alias("e")).groupBy("account_id").agg(
+        F.sum("e.n").alias("txn_count"), F.sum("e.total").alias("total_amount"),
+        F.sort_array(F.collect_set("e.merchant")).alias("merchants"),
+        F.sort_array(F.collect_set("e.device")).alias("devices"),
+    )
+
+
 #: Pairs one cell of the device grid produces at most (in expectation; parts are hashed).
 PAIRS_PER_CELL = 1_000_000
 

@@ -172,6 +172,16 @@ def test_profile_parts_by_day_at_every_size(make_transactions):
     assert list(out.columns) == ["account_id", "part", "transactions", "merchants", "devices"]
 
 
+def test_whole_profile_puts_the_days_together(make_transactions):
+    rows = [("big", f"d{i % 7}", f"m{i % 11}", 2.0, f"2024-01-{1 + i % 20:02d} 10:00:00") for i in range(12_000)]
+    rows += [("small", "d1", "m1", 1.5), ("small", "d2", "m1", 1.0, "2024-01-02 10:00:00")]
+    out = {r["account_id"]: r for r in sharing.whole_profile(sharing.account_profile(make_transactions(rows))).collect()}
+    assert len(out) == 2
+    assert (out["big"]["txn_count"], out["big"]["total_amount"]) == (12_000, 24_000.0)
+    assert out["big"]["merchants"] == sorted(f"m{i}" for i in range(11)) and out["big"]["devices"] == [f"d{i}" for i in range(7)]
+    assert tuple(out["small"])[1:] == (2, 2.5, ["m1"], ["d1", "d2"])
+
+
 def test_hub_device_of_accounts_with_many_devices(make_transactions):
     """Every account has 20 devices, one of them a hub of all; neighbours in twos share two more.
 
