@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskgraph.llm import ann, bpe, exact_dedup, lm_scoring, merkle, mixing, packing, pii, prefix_trie, quality, reshard, simhash, suffix_dedup
-from riskgraph.llm.common import table
+from riskgraph.llm.common import table, text_bytes
+from riskgraph.session import materialise, new_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 PACKING_TOKENIZER = "byte_bpe_50k.json"
@@ -32,11 +33,19 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The old layout keeps a source together, so it is as uneven as the sources are."""
+    """The old layout keeps a source together, so it is as uneven as the sources are. It is written as
+    files, the files of the shards that change are rewritten, and sizes and shards are read from them."""
     old = F.pmod(F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")), F.lit(OLD_SHARDS))
-    found = reshard.reshard(table(spark, sf_dir, "documents"), old, SHARDS)
-    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-                        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+    layout = reshard.lay_out(table(spark, sf_dir, "documents"), old, new_path(spark, "old-shards"))
+    plan = materialise(reshard.reshard(layout, F.col("old_shard"), SHARDS))
+    path = new_path(spark, "shards")
+    affected = materialise(reshard.rewrite(layout, plan, path))
+    found = reshard.read_back(layout, affected, path).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), (text_bytes() + F.lit(reshard.ROW_BYTES)).alias("size"),
+        F.crc32(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")).alias("text_crc32"), "row", "shard")
+    return found.join(plan.select("row", "shard", "slot", "old_shard"), ["row", "shard"]).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

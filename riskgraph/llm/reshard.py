@@ -1,16 +1,24 @@
 """Resharding by minimum-cost flow: fill new shards while moving the fewest bytes.
 
-The network has a node for every old shard and size class (powers of two), whose rows
-either stay, at no cost, or go through a hub to any new shard, at their mean size each;
-new shards take their capacity of rows. Its optimum says how many rows each old shard
-gives up; within a shard the smallest go first. The rows given up are cut into blocks
-(old shard, range of ranks, new shard). Only the network, whose size depends on the
-numbers of shards and not of rows, is solved on the driver.
+The network has a node for every old shard and for each stretch of its rows in order of
+size, whose rows either stay, at no cost, or go through a hub to any new shard, at their
+mean size each; new shards take their capacity of rows. The stretches end at the margin:
+as new counts differ by one at most, an old shard of n rows gives up n - each or one less,
+so the row at that rank is a stretch of its own with its exact size, and the optimum is
+the fewest bytes. It says how many rows each old shard gives up; within a shard the
+smallest go first. The rows given up are cut into blocks (old shard, range of ranks, new
+shard). Only the network, whose size depends on the numbers of shards and not of rows, is
+solved on the driver.
 
 Ranks come from one distributed sort by (old shard, size, id), so an old shard may hold
 any share of the rows. A row's place in its new shard is computed from its block: places
 are gapless, and nothing is shuffled for them.
 
+`lay_out` writes an old layout as files and numbers its rows, `rewrite` writes the files of
+the shards that the plan changes. A block is a range of (size, id, row), so a row's new
+shard follows from the ends of the blocks where the row stands: texts are written once for
+each layout and never shuffled.
+
 A null text has no bytes. Equal texts need not share a shard. Rows that repeat an id are
 placed like any other rows. An empty table gives no rows. Other columns are not looked at
 by the plan; `rewrite` writes all of them.
@@ -21,7 +29,7 @@ from __future__ import annotations
 import heapq
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskgraph.functions.order import with_row_position
 from riskgraph.llm.common import text_bytes
@@ -79,7 +87,7 @@ class Flow:
 def given_up(classes: dict[int, dict[int, tuple[int, int]]], shards: int) -> tuple[dict[int, int], dict[int, int]]:
     """(rows that leave each old shard, rows that come to each new shard).
 
-    `classes`: by old shard and size class, (rows, bytes). New shards are 0 to shards - 1;
+    `classes`: by old shard and stretch of its rows in order of size, (rows, bytes). New shards are 0 to shards - 1;
     their counts differ by one at most. Old shards that are no longer there give up all rows.
     """
     rows = sum(n for by in classes.values() for n, _ in by.values())
@@ -126,41 +134,90 @@ def blocks(counts: dict[int, int], leave: dict[int, int], come: dict[int, int])
     return out
 
 
+def margins(counts: dict[int, int], shards: int) -> dict[int, int]:
+    """By old shard, the rank of the row that it gives up or keeps, as one or no row more falls to it."""
+    each = sum(counts.values()) // shards
+    return {i: n - each - 1 for i, n in counts.items() if 0 <= i < shards and n > each}
+
+
 def reshard(docs: DataFrame, old: Column, shards: int) -> DataFrame:
-    """(doc_id, size, text_crc32, old_shard, shard, slot): counts of the new shards differ by one at most."""
+    """(doc_id, size, text_crc32, old_shard, shard, slot): counts of the new shards differ by one at most.
+
+    The `row` of `lay_out`, if `docs` has it, is carried along.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    numbered = ["row"] if "row" in docs.columns else []
     rows = materialise(docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), (text_bytes() + F.lit(ROW_BYTES)).alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), old.cast("int").alias("old_shard")))
-    seen = rows.groupBy("old_shard", F.floor(F.log2("size")).cast("int").alias("c")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect()  # shards x classes rows
-    classes: dict[int, dict[int, tuple[int, int]]] = defaultdict(dict)
-    for r in seen:
-        classes[r["old_shard"]][r["c"]] = (r["n"], r["bytes"])
-    counts = {i: sum(n for n, _ in by.values()) for i, by in classes.items()}
+        F.crc32(text.cast("binary")).alias("text_crc32"), old.cast("int").alias("old_shard"), *numbered))
+    counts = {r[0]: r[1] for r in rows.groupBy("old_shard").agg(F.count(F.lit(1))).collect()}  # one row per old shard
     begin, start = 0, {}
     for i in sorted(counts):
         start[i], begin = begin, begin + counts[i]
-    plan = blocks(counts, *given_up(classes, shards)) if classes else []
     spark = docs.sparkSession
+    placed = with_row_position(rows, ["old_shard", "size", "doc_id", *numbered])
+    margin = margins(counts, shards)
+    edges = spark.createDataFrame([(i, start[i] + margin[i]) for i in sorted(margin)], "old_shard int, _edge long")
+    stretch = F.coalesce(F.signum(F.col("position") - F.col("_edge")), F.lit(0.0)).cast("int")
+    seen = placed.join(F.broadcast(edges), "old_shard", "left").groupBy("old_shard", stretch.alias("c")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect()  # three rows per old shard
+    classes: dict[int, dict[int, tuple[int, int]]] = defaultdict(dict)
+    for r in seen:
+        classes[r["old_shard"]][r["c"]] = (r["n"], r["bytes"])
+    plan = blocks(counts, *given_up(classes, shards)) if classes else []
     table = spark.createDataFrame(
         [(i, start[i] + a, start[i] + b, j, place) for i, a, b, j, place in plan],
         "old_shard int, _from long, _to long, shard int, _place long")
-    placed = with_row_position(rows, ["old_shard", "size", "doc_id"])
     inside = (F.col("position") >= F.col("_from")) & (F.col("position") < F.col("_to"))
     return placed.join(F.broadcast(table), "old_shard").where(inside).select(
         "doc_id", "size", "text_crc32", "old_shard", "shard",
-        (F.col("_place") + F.col("position") - F.col("_from")).alias("slot"))
+        (F.col("_place") + F.col("position") - F.col("_from")).alias("slot"), *numbered)
+
+
+def lay_out(docs: DataFrame, old: Column, path: str) -> DataFrame:
+    """Write `docs` to `path`/old_shard=N, each row with a number of its own (`row`), and read it back."""
+    rows = docs.withColumns({"row": F.monotonically_increasing_id(), "old_shard": old.cast("int")})
+    rows.write.partitionBy("old_shard").parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _assigned(docs: DataFrame, plan: DataFrame) -> DataFrame:
+    """`docs` with the new `shard` of every row that `plan` names.
+
+    Rows of a layout find it by where they stand between the first rows of the blocks of
+    their old shard; rows without a number by their id, which must be unique.
+    """
+    if "row" not in docs.columns:
+        return docs.join(plan.select("doc_id", "shard", "slot"), "doc_id")
+
+    def place(size: Column, doc_id: Column) -> Column:
+        return F.struct(size.alias("size"), doc_id.isNotNull().alias("named"), F.coalesce(doc_id, F.lit(0)).alias("doc_id"),
+                        F.col("row").alias("row"))
+
+    firsts = plan.groupBy("old_shard", "shard").agg(F.min(place(F.col("size"), F.col("doc_id"))).alias("_first"))
+    firsts = firsts.withColumn("_next", F.lead("_first").over(Window.partitionBy("old_shard").orderBy("_first")))
+    at = place(text_bytes() + F.lit(ROW_BYTES), F.col("doc_id").cast("bigint"))
+    inside = (F.col("_at") >= F.col("_first")) & (F.col("_next").isNull() | (F.col("_at") < F.col("_next")))
+    return docs.withColumn("_at", at).join(
+        F.broadcast(firsts), "old_shard").where(inside).drop("_at", "_first", "_next")  # one row per block
 
 
 def rewrite(docs: DataFrame, plan: DataFrame, path: str) -> DataFrame:
     """Write the shards that the plan changes to `path`/shard=N and return their numbers.
 
     A shard is affected if a row leaves it or comes to it; the files of the others stay as
-    they are. Ids must be unique.
+    they are. Every task writes its part of each shard, so a shard may hold any share of the rows.
     """
     moves = plan.where("old_shard <> shard")
     affected = moves.select(F.explode(F.array("old_shard", "shard")).alias("shard")).distinct()
-    rows = plan.join(affected, "shard", "left_semi").select("doc_id", "shard", "slot")
-    docs.join(rows, "doc_id").repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    rows = _assigned(docs, plan.join(F.broadcast(affected), "shard", "left_semi"))
+    rows.write.partitionBy("shard").parquet(path)
     return affected
+
+
+def read_back(layout: DataFrame, affected: DataFrame, path: str) -> DataFrame:
+    """All rows after `rewrite`, with their `shard`: the rewritten files, and those of the old layout that stayed."""
+    written = layout.withColumn("shard", F.lit(0))
+    new = layout.sparkSession.read.schema(written.schema).parquet(path)
+    stayed = layout.withColumn("shard", F.col("old_shard")).join(F.broadcast(affected), "shard", "left_anti")
+    return new.unionByName(stayed)
