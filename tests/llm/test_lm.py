@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -59,3 +60,26 @@ def test_scores_against_counting_by_hand(spark):
     assert lm_scoring.cross_entropy_difference(docs.limit(0), target.limit(0)).count() == 0
     uniform = lm_scoring.score(docs, lm_scoring.model(target.limit(0)), lm_scoring.model(docs)).where("n_tokens > 0").collect()
     assert all(r["target_loss"] == pytest.approx(math.log(256)) for r in uniform)
+
+
+def test_every_ngram_has_a_cell_of_its_own(spark):
+    """Counts and losses are exact, with most n-grams outside the broadcast head as well."""
+    start(spark)
+    rnd = random.Random(3)
+    texts = [bytes(rnd.randrange(128) for _ in range(rnd.choice((0, 1, 2, 3, 5, 3000)))).decode() for _ in range(60)]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    target = docs.where("doc_id % 3 = 0")
+    grams = Counter(t.encode().lower()[i:i + k] for t in texts for k in range(1, 5) for i in range(len(t) - k + 1))
+    found = {r["cell"]: r["n"] for r in lm_scoring.model(docs).collect()}
+    assert found == {cell(g, lm_scoring.CELL_BITS): n for g, n in grams.items()}
+    with pytest.raises(ValueError):
+        cell(b"abcd", 21)
+
+    def rows(df):
+        return sorted((r["doc_id"], r["n_tokens"], round(r["target_loss"], 9), round(r["background_loss"], 9)) for r in df.collect())
+
+    whole = rows(lm_scoring.cross_entropy_difference(docs, target))
+    assert whole == rows(lm_scoring.cross_entropy_difference(docs, target, head_cells=50))
+    b = counts(texts, lm_scoring.CELL_BITS)
+    assert [r[3] for r in whole if r[1] > 100] == pytest.approx(
+        [x[1] for x in sorted((i // 2, loss(b, t.encode().lower(), lm_scoring.CELL_BITS)) for i, t in enumerate(texts) if len(t) > 100)])
