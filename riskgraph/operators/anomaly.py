@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskgraph.functions.order import exact_quantile
 from riskgraph.functions.rules import flag, uniform
@@ -16,6 +16,8 @@ from riskgraph.session import materialise
 
 TREES = 200
 SAMPLE = 256
+# Rows that walk the trees together.
+BLOCK_ROWS = 2048
 EULER = 0.5772156649015329
 TREE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 TREE_SCHEMA_NAMES = ["tree", "node", "feature", "threshold", "left", "right", "path"]
@@ -74,7 +76,7 @@ def _bottom_k(rows: DataFrame, n: int, trees: int, k: int, seed: int) -> DataFra
     """(tree, id, x): for each tree exactly the k rows with the lowest draws (ties by id).
 
     A row's draw for a tree is a hash of (id, tree), so reruns and lost tasks draw the same.
-    One JVM-side pass keeps, of each row, only the trees whose draw is below a bar that
+    One JVM-side pass meets each row with every tree and keeps the draws below a bar that
     about 2k + 64 rows pass; the exact k lowest per tree are then ranked among those few.
     Should a tree fall short of k, the bar is raised and the pass repeated, so the sample
     is exact at every size, and no tree ever groups more than a few k rows.
@@ -82,14 +84,9 @@ def _bottom_k(rows: DataFrame, n: int, trees: int, k: int, seed: int) -> DataFra
     room = 2.0
     while True:
         bar = min(1.0, (room * k + 64) / max(n, 1))
-        offered = F.filter(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(trees - 1)),
-                lambda t: F.struct(t.alias("tree"), uniform(F.col("id"), t, F.lit(seed + 1)).alias("draw")),
-            ),
-            lambda s: s["draw"] < F.lit(bar),
-        )
-        passed = materialise(rows.select("id", "x", F.explode(offered).alias("d")).select("d.tree", "d.draw", "id", "x"))
+        offered = rows.select("id", "x", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).withColumn(
+            "draw", uniform(F.col("id"), F.col("tree"), F.lit(seed + 1)))
+        passed = materialise(offered.where(F.col("draw") < F.lit(bar)).select("tree", "draw", "id", "x"))
         full = passed.groupBy("tree").count().where(F.col("count") >= k).count()
         if full == trees or bar >= 1.0:
             break
@@ -180,31 +177,62 @@ def _score(detector: Detector, scaled: bool):
     spark_x = F.array(*[
         (F.col(c) if scaled else (F.col(c) - F.lit(scale[c][0])) / F.lit(scale[c][1])).cast("double") for c in columns
     ])
-    nodes, usual = detector.nodes, float(_usual_path(detector.sample)) or 1.0
+    trees = len(detector.nodes["feature"])
+    usual, levels = float(_usual_path(detector.sample)) or 1.0, _levels(detector.nodes)
+    # One broadcast for all batches; trees x 2^depth numbers.
+    shared = SparkSession.active().sparkContext.broadcast(_heaps(detector.nodes, levels))
 
     @F.pandas_udf("double")
     def walk(batch: pd.Series) -> pd.Series:
-        x = np.array(batch.tolist(), dtype=float)
-        total = np.zeros(len(x))
-        row = np.arange(len(x))
-        for t in range(len(nodes["feature"])):
-            feature, threshold = nodes["feature"][t], nodes["threshold"][t]
-            at = np.zeros(len(x), dtype=int)
-            while True:
-                f = feature[at]
-                inner = f >= 0
-                if not inner.any():
-                    break
-                goes_left = x[row, np.maximum(f, 0)] <= threshold[at]
-                at = np.where(inner, np.where(goes_left, nodes["left"][t][at], nodes["right"][t][at]), at)
-            total += nodes["path"][t][at]
-        if not len(nodes["feature"]):
-            return pd.Series(np.zeros(len(x)))
-        return pd.Series(-np.power(2.0, -total / len(nodes["feature"]) / usual))
+        feature, threshold, path = shared.value
+        if not trees:
+            return pd.Series(np.zeros(len(batch)))
+        total = np.zeros(len(batch))
+        for start in range(0, len(batch), BLOCK_ROWS):
+            x = np.array(batch.iloc[start:start + BLOCK_ROWS].tolist(), dtype=float)
+            flat, row = x.ravel(), np.arange(len(x)) * x.shape[1]
+            for t in range(trees):
+                at = np.zeros(len(x), dtype=np.intp)
+                for _ in range(levels):
+                    at = 2 * at + 1 + ~(flat[row + feature[t].take(at)] <= threshold[t].take(at))
+                total[start:start + BLOCK_ROWS] += path[t].take(at)
+        return pd.Series(-np.power(2.0, -total / trees / usual))
 
     return walk(spark_x)
 
 
+def _levels(nodes: dict[str, np.ndarray]) -> int:
+    """Levels of the deepest tree below its root."""
+    left, right, inner = nodes["left"], nodes["right"], nodes["feature"] >= 0
+    at = np.zeros(inner.shape, dtype=bool)
+    at[:, 0] = True
+    deep = 0
+    while (at & inner).any():
+        deep += 1
+        below = np.zeros(inner.shape, dtype=bool)
+        tree, node = np.nonzero(at & inner)
+        below[tree, left[tree, node]] = below[tree, right[tree, node]] = True
+        at = below
+    return deep
+
+
+def _heaps(nodes: dict[str, np.ndarray], levels: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, threshold, path) of every tree as a full binary tree, children of i at 2i + 1 and 2i + 2.
+
+    Below a leaf there are copies of it, whichever side a row takes, so all rows walk the
+    same number of steps.
+    """
+    trees = len(nodes["feature"])
+    at = np.full((trees, 2 ** (levels + 1) - 1), 0)
+    for i in range(2 ** levels - 1):
+        tree = np.arange(trees)
+        inner = nodes["feature"][tree, at[:, i]] >= 0
+        for child, side in ((2 * i + 1, "left"), (2 * i + 2, "right")):
+            at[:, child] = np.where(inner, nodes[side][tree, at[:, i]], at[:, i])
+    tree = np.arange(trees)[:, None]
+    return np.maximum(nodes["feature"][tree, at], 0), nodes["threshold"][tree, at], nodes["path"][tree, at]
+
+
 def minmax_inverted(df: DataFrame, column: str, name: str = "anomaly_score") -> DataFrame:
     """(max - s) / (max - min); a column without range becomes 0."""
     low, high = df.agg(F.min(column), F.max(column)).first()

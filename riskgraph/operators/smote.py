@@ -27,10 +27,20 @@ def _nearest(queries: np.ndarray, own: np.ndarray, pool: np.ndarray, k: int) ->
         q = queries[start:start + 512]
         d = norms[None, :] - 2 * q @ pool.T
         d[np.arange(len(q)), own[start:start + 512]] = np.inf
-        out[start:start + 512] = np.argsort(d, axis=1, kind="stable")[:, :k]
+        out[start:start + 512] = _lowest(d, k)
     return out
 
 
+def _lowest(d: np.ndarray, k: int) -> np.ndarray:
+    """Per row the columns of the k lowest values, lowest first, ties by column; only those up to the k-th are sorted."""
+    if k < 1:
+        return np.empty((len(d), 0), dtype=np.int64)
+    row, column = np.nonzero(d <= np.partition(d, k - 1, axis=1)[:, k - 1:k])
+    order = np.lexsort((column, d[row, column], row))
+    first = np.searchsorted(row, np.arange(len(d)))
+    return column[order][first[:, None] + np.arange(k)]
+
+
 def minority_neighbours(minority: DataFrame, features: Sequence[str], id_column: str, seed: int) -> DataFrame:
     """id, x (feature array), near (array of up to five neighbours' feature arrays)."""
     spark = minority.sparkSession

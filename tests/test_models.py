@@ -156,3 +156,47 @@ def test_empty_table_gives_a_forest_without_trees(spark):
     df = spark.createDataFrame([], "transaction_id string, a double")
     detector = anomaly.fit(df, ["a"], trees=5)
     assert detector.nodes["feature"].shape[0] == 0
+
+
+def test_lowest_columns_equal_a_stable_sort():
+    rng = np.random.default_rng(7)
+    for k in (1, 3, 5):
+        d = rng.integers(0, 6, (40, 30)).astype(float)
+        d[3, :29] = np.inf
+        assert (smote._lowest(d, k) == np.argsort(d, axis=1, kind="stable")[:, :k]).all()
+    assert smote._lowest(np.zeros((4, 1)), 0).shape == (4, 0)
+
+
+def test_rows_walk_full_trees_like_the_grown_ones(spark):
+    """Scores over the full binary trees equal a walk along the node table, row by row."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(5000, 4)), 1)
+    df = spark.createDataFrame([(f"t{i:05d}", *map(float, v)) for i, v in enumerate(x)], "transaction_id string, a double, b double, c double, d double")
+    detector = anomaly.fit(df, ["a", "b", "c", "d"], trees=12, sample=64)
+    n = detector.nodes
+    depth = anomaly._levels(n)
+    assert depth <= 6 and all(a.shape == (12, 2 ** (depth + 1) - 1) for a in anomaly._heaps(n, depth))
+    got = {r["transaction_id"]: r["s"] for r in df.select("transaction_id", anomaly._score(detector, scaled=False).alias("s")).collect()}
+    for i in range(0, 5000, 97):
+        z = [(v - detector.scale[c][0]) / detector.scale[c][1] for c, v in zip("abcd", x[i])]
+        total = 0.0
+        for t in range(12):
+            at = 0
+            while n["feature"][t, at] >= 0:
+                at = n["left" if z[n["feature"][t, at]] <= n["threshold"][t, at] else "right"][t, at]
+            total += n["path"][t, at]
+        assert got[f"t{i:05d}"] == pytest.approx(-2 ** (-total / 12 / float(anomaly._usual_path(64))), rel=1e-12)
+
+
+def test_training_rows_are_spread_over_tasks(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    seen = []
+    plain = RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or plain(self, df))
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 50)
+    df = spark.range(0, 600, 1, 2).selectExpr("cast(id % 7 as double) a", "cast(id % 3 = 0 as int) label")
+    training.fit(df, ["a"], training.FOREST, rounds=2)
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 1000)
+    training.fit(df, ["a"], training.FOREST, rounds=2)
+    assert seen == [12, 2]
