@@ -10,12 +10,19 @@ from riskgraph.session import materialise, materialise_with
 
 # A side is broadcast only after it has been counted and found no longer than this.
 BROADCAST_ROWS = 200_000
+# The same inside an iteration, where every round broadcasts again and what passes the driver adds up.
+LOOP_BROADCAST_ROWS = 10_000
 # A key is hot when it holds more rows than both of these allow; the second
 # bounds the list of hot keys: at most HOT_SHARE keys can hold 1/HOT_SHARE each.
 HOT_ROWS = 1_000_000
 HOT_SHARE = 10_000
 
 
+def loop_rows() -> int:
+    """The `broadcast_rows` of joins that an iteration repeats."""
+    return min(LOOP_BROADCAST_ROWS, BROADCAST_ROWS)
+
+
 def attach(
     left: DataFrame,
     right: DataFrame,
@@ -33,7 +40,8 @@ def attach(
     matching right rows are repeated once per salt, and the result is the same as the
     plain join. `weight` names a column of `right` that already holds the number of
     left rows per key; without it the left keys are counted. A caller that has already
-    computed and counted `right` passes its length as `right_rows`.
+    computed and counted `right` passes its length as `right_rows`. A side that is too
+    long is joined by shuffle even where its file is small enough for Spark to broadcast.
     """
     keys = [key] if isinstance(key, str) else list(key)
     broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
@@ -50,7 +58,7 @@ def attach(
     )
     hot = hot_keys(counts, keys, hot_rows)
     if hot is None:
-        return left.join(right, keys, how)
+        return left.join(right.hint("merge"), keys, how)
     spread = F.xxhash64(*left.columns)
     salted_left = left.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.coalesce(F.pmod(spread, F.col("_salts")), F.lit(0))
@@ -58,7 +66,7 @@ def attach(
     salted_right = right.join(F.broadcast(hot), keys, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1).cast("array<bigint>"))
     ).drop("_salts")
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+    return salted_left.join(salted_right.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskgraph.functions.skew import attach
+from riskgraph.functions.skew import attach, loop_rows
 from riskgraph.operators.sharing import Pairs, pairs_of
 from riskgraph.session import materialise, materialise_with
 
@@ -36,8 +36,8 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
         renames.append((chosen.select(F.col("a").alias("node"), F.col("r").alias("root")), size["rows"]))
         to_a = chosen.select("a", F.col("r").alias("ra"), "_n")
         to_b = chosen.select(F.col("a").alias("b"), F.col("r").alias("rb"), F.col("_n").alias("_m"))
-        renamed = attach(pairs, to_a, "a", weight="_n", right_rows=size["rows"]).drop("_n")
-        renamed = attach(renamed, to_b, "b", weight="_m", right_rows=size["rows"]).drop("_m")
+        renamed = attach(pairs, to_a, "a", weight="_n", right_rows=size["rows"], broadcast_rows=loop_rows()).drop("_n")
+        renamed = attach(renamed, to_b, "b", weight="_m", right_rows=size["rows"], broadcast_rows=loop_rows()).drop("_m")
         pairs, seen = materialise_with(
             renamed.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
             .where("a <> b").distinct()
@@ -48,7 +48,7 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     roots, rows = renames[-1]
     for earlier, earlier_rows in reversed(renames[:-1]):
         later = roots.select(F.col("node").alias("root"), F.col("root").alias("_final"))
-        roots = attach(earlier, later, "root", right_rows=rows).select("node", F.coalesce("_final", "root").alias("root"))
+        roots = attach(earlier, later, "root", right_rows=rows, broadcast_rows=loop_rows()).select("node", F.coalesce("_final", "root").alias("root"))
         rows = earlier_rows
     return roots
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from riskgraph.functions.skew import attach
+from riskgraph.functions import skew
 from riskgraph.operators.sharing import uses
 from riskgraph.session import materialise, materialise_with
 
@@ -14,6 +14,11 @@ SWEEPS, LEVELS = 10, 10
 TOLERANCE = 1e-4
 
 
+def attach(*sides, **options) -> DataFrame:
+    """`skew.attach` with the limit of iterations: every sweep attaches the labels again."""
+    return skew.attach(*sides, **options, broadcast_rows=skew.loop_rows())
+
+
 def modularity(edges: DataFrame, labels: DataFrame, nodes: int | None = None) -> float:
     """Modularity of `labels(node, c)` on undirected `edges(a, b, w)`; a loop a = b counts its weight twice."""
     first = labels.select(F.col("node").alias("a"), F.col("c").alias("ca"))

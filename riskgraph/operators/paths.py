@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from riskgraph.functions.rules import uniform
-from riskgraph.functions.skew import attach
+from riskgraph.functions.skew import attach, loop_rows
 from riskgraph.operators.sharing import Pairs, pairs_of
 from riskgraph.session import materialise, materialise_with
 
@@ -39,13 +39,13 @@ def betweenness(
     entered = None
     while seen["rows"]:
         levels.append(level)
-        reach = attach(level.select("source", "node"), of_account, "node", how="inner", right_rows=rows)
+        reach = attach(level.select("source", "node"), of_account, "node", how="inner", right_rows=rows, broadcast_rows=loop_rows())
         reach = reach.groupBy("source", "device_id").agg(F.max("node").alias("parent"))
         if entered is not None:
             # A device seen before was first entered exactly one level ago.
             reach = reach.join(entered.select("source", "device_id"), ["source", "device_id"], "left_anti")
         entered = materialise(reach)
-        found = attach(entered, of_device, "device_id", how="inner", right_rows=rows)
+        found = attach(entered, of_device, "device_id", how="inner", right_rows=rows, broadcast_rows=loop_rows())
         found = found.groupBy("source", F.col("next").alias("node")).agg(F.max("parent").alias("parent"))
         # Accounts of a newly entered device are either on this level or not yet seen.
         level, seen = materialise_with(found.join(level.select("source", "node"), ["source", "node"], "left_anti"))

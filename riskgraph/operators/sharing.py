@@ -151,7 +151,7 @@ class Sharing:
     pairs: Pairs
 
     def _join(self, left: DataFrame, right: DataFrame, keys) -> DataFrame:
-        return left.join(F.broadcast(right) if self.short else right, keys)
+        return left.join(F.broadcast(right) if self.short else right.hint("merge"), keys)
 
     def gather(self, x: DataFrame, value: str, outward: DataFrame | None = None, **kept: Column) -> DataFrame:
         """(account_id, total, own, kept..): sum of `value` over the neighbours, and the account's own.
@@ -240,7 +240,7 @@ def sharing(df: DataFrame, rows_per_copy: int | None = None) -> Sharing:
     inward = groups.select("grp", "account_id").unionByName(accounts.select("grp", "account_id"))
     inward = attach(inward, copies, "grp", right_rows=seen_copies["rows"])
     inward, seen_in = materialise_with(inward)
-    short = max(seen_in["rows"], seen_out["rows"]) <= skew.BROADCAST_ROWS
+    short = max(seen_in["rows"], seen_out["rows"]) <= skew.loop_rows()
     return Sharing(accounts.select("account_id"), inward, materialise(salted), short, pairs)
 
 

@@ -74,3 +74,18 @@ def test_features_do_not_depend_on_partitioning(spark, sf):
 def test_one_row_account(make_transactions):
     out = features.engineer(make_transactions([("a", "1")])).first()
     assert out["account_amount_std"] == 0.0 and out["time_since_last_txn"] is None
+
+
+def test_long_sides_are_not_broadcast_in_loops(spark, make_transactions, monkeypatch):
+    """Above the limit of iterations nothing is broadcast, however small its file, and communities stay the same."""
+    from riskgraph.operators import louvain, sharing
+
+    df = make_transactions([(f"a{i // 3}", f"d{i % 3 + 3 * (i // 9)}") for i in range(60)] + [("x", "d0"), ("x", "d5")])
+    want = rows(louvain.louvain(df))
+    monkeypatch.setattr(skew, "LOOP_BROADCAST_ROWS", 0)
+    assert rows(louvain.louvain(df)) == want
+    left = spark.range(100).selectExpr("id % 5 as k", "id as v")
+    joined = skew.attach(left, left.groupBy("k").count(), "k", broadcast_rows=skew.loop_rows())
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    graph = sharing.sharing(df)
+    assert not graph.short and rows(graph.degrees()) == rows(sharing.sharing(df).degrees())
