@@ -86,3 +86,51 @@ def test_suffix_array_and_prefixes():
             a, b = raw[order[i - 1]:], raw[order[i]:]
             n = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
             assert shared[i] == n
+
+
+def test_prefixes_end_with_the_text():
+    for raw in (b"\0" * 40, b"ab\0\0" * 9, b"abcdefgh" * 5 + b"\0"):
+        data = np.frombuffer(raw, np.uint8)
+        order = suffix_dedup.suffix_array(data, 128)
+        shared = suffix_dedup.common_prefixes(data, order)
+        for i in range(1, len(order)):
+            a, b = raw[order[i - 1]:], raw[order[i]:]
+            assert shared[i] == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_pieces_of_many_texts_are_those_of_each(texts, monkeypatch):
+    data = [(t or "").encode() for t in texts] + [b"", b"z" * 99, b""] + [b"q" * n for n in range(90, 210, 7)]
+    data += [b"long " * 900, b"", b"ab" * 60]
+    want = [(a, i, f, n) for i, x in enumerate(data) for p in suffix_dedup.pieces(x) for a, f, n in zip(*(c.tolist() for c in p))]
+    for block in (1, 300, 4000, 1 << 17):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        assert list(zip(*(c.tolist() for c in suffix_dedup.pieces_of(data)))) == want
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 1 << 17)
+    calls, real = [], suffix_dedup.segment_pieces
+    monkeypatch.setattr(suffix_dedup, "segment_pieces", lambda *a: calls.append(1) or real(*a))
+    suffix_dedup.pieces_of(data)
+    assert len(calls) == 1  # one pass for all, not one for each
+
+
+def test_strip_joins_runs_that_touch_or_overlap():
+    data = bytes(range(250)) * 4
+    rnd = random.Random(2)
+    for _ in range(200):
+        runs = [(rnd.randrange(0, 880), rnd.randrange(1, 20)) for _ in range(rnd.randrange(0, 6))]
+        runs += [(a + n + 99, 1) for a, n in runs[:1] if a + n + 199 <= 1000]
+        gone = bytearray(1000)
+        for a, n in runs:
+            gone[a:a + n + 99] = b"\1" * (n + 99)
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        spans = sum(1 for k, g in enumerate(gone) if g and (k == 0 or not gone[k - 1]))
+        assert suffix_dedup._strip(data, [a for a, _ in runs], [n for _, n in runs]) == (sum(gone), spans, kept)
+
+
+def test_written_steps_leave_no_shuffle_files(spark, texts, monkeypatch):
+    start(spark)
+    key, seen, real = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", [], suffix_dedup.materialise
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(suffix_dedup, "materialise", lambda df: seen.append(spark.conf.get(key)) or real(df))
+    table = spark.createDataFrame([(i, t, 0, 0) for i, t in enumerate(texts[:30])], SCHEMA)
+    suffix_dedup.repeated_runs(table, False)
+    assert seen == ["true"] * 3 and spark.conf.get(key, None) == before
