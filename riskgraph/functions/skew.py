@@ -57,6 +57,14 @@ def attach(
         else left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     )
     hot = hot_keys(counts, keys, hot_rows)
+    return spread_join(left, right, keys, how, hot)
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, key: str | Sequence[str], how: str = "left", hot: DataFrame | None = None
+) -> DataFrame:
+    """The shuffle join of `attach` for a caller that already knows the `hot_keys` of `left` (None: there is none)."""
+    keys = [key] if isinstance(key, str) else list(key)
     if hot is None:
         return left.join(right.hint("merge"), keys, how)
     spread = F.xxhash64(*left.columns)

@@ -19,11 +19,25 @@ def attach(*sides, **options) -> DataFrame:
     return skew.attach(*sides, **options, broadcast_rows=skew.loop_rows())
 
 
-def modularity(edges: DataFrame, labels: DataFrame, nodes: int | None = None) -> float:
+def _join(left: DataFrame, right: DataFrame, key: str, rows: int, hot: DataFrame | None, how: str = "left") -> DataFrame:
+    """`attach` of a written `right` of `rows` rows where the hot keys of `left` are known: plans a join, runs no job."""
+    if rows <= skew.loop_rows():
+        return left.join(F.broadcast(right), key, how)
+    if hot is not None:
+        hot = hot.withColumnRenamed(hot.columns[0], key)
+    return skew.spread_join(left, right, key, how, hot)
+
+
+def _hot(counts: DataFrame, key: str, most: int | None) -> DataFrame | None:
+    """`hot_keys` of `counts(key, _n)`, whose largest count is known, so that usually no job runs."""
+    return skew.hot_keys(counts.select(key, "_n"), [key]) if (most or 0) > skew.HOT_ROWS else None
+
+
+def modularity(edges: DataFrame, labels: DataFrame, nodes: int, hot: DataFrame | None = None) -> float:
     """Modularity of `labels(node, c)` on undirected `edges(a, b, w)`; a loop a = b counts its weight twice."""
     first = labels.select(F.col("node").alias("a"), F.col("c").alias("ca"))
     second = labels.select(F.col("node").alias("b"), F.col("c").alias("cb"))
-    ends = attach(attach(edges, first, "a", right_rows=nodes), second, "b", right_rows=nodes)
+    ends = _join(_join(edges, first, "a", nodes, hot), second, "b", nodes, hot)
     inside = F.when(F.col("ca") == F.col("cb"), F.col("w")).otherwise(0.0)
     halves = ends.select(F.explode(F.array(
         F.struct(F.col("ca").alias("c"), "w", inside.alias("i")), F.struct(F.col("cb").alias("c"), "w", F.lit(0.0).alias("i"))
@@ -34,27 +48,35 @@ def modularity(edges: DataFrame, labels: DataFrame, nodes: int | None = None) ->
     return 2 * within / total - squares / (total * total) if total else 0.0
 
 
-def _sweep(both: DataFrame, labels: DataFrame, degree: DataFrame, m: float, turn: int, nodes: int) -> DataFrame:
-    """Move the nodes of one half to the neighbouring community with the best gain."""
-    known = attach(labels, degree, "node", right_rows=nodes)
-    totals = known.groupBy("c").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("_n"))
+def _sweep(both: DataFrame, state: DataFrame, m: float, turn: int, nodes: int, hot: DataFrame | None) -> tuple[DataFrame, int]:
+    """`state(node, c, k)` after the nodes of one half moved to the neighbouring community with the best gain,
+    and how many did. `hot`: the nodes with many `both(a, b, w)`.
+
+    Two jobs: the totals of the communities, then the moves. A node carries its community's
+    total to its neighbours, so links are joined by node only, whose hot keys stay the same all level.
+    """
+    totals, size = materialise_with(
+        state.groupBy("c").agg(F.sum("k").alias("total"), F.count(F.lit(1)).alias("_n")), most=F.max("_n")
+    )
+    known = _join(state, totals.drop("_n"), "c", size["rows"], _hot(totals, "c", size["most"]))
     half = F.pmod(F.xxhash64("node", F.lit(turn // 2)), F.lit(2)) == turn % 2
-    movers = known.where(half).select("node", F.col("c").alias("own"), "k")
-    neighbour = labels.select(F.col("node").alias("b"), F.col("c").alias("nc"))
-    links = attach(both.where("a <> b"), neighbour, "b", right_rows=nodes)
-    links = links.groupBy(F.col("a").alias("node"), "nc").agg(F.sum("w").alias("kin"))
-    options = attach(links, movers, "node", how="inner", right_rows=nodes)
-    stay = movers.select("node", F.col("own").alias("nc"), F.lit(0.0).alias("kin"), "own", "k")
-    options = options.unionByName(stay).groupBy("node", "nc", "own", "k").agg(F.sum("kin").alias("kin"))
-    priced = attach(options, totals.select(F.col("c").alias("nc"), "total"), "nc", right_rows=nodes)
+    movers = known.where(half).select("node", F.col("c").alias("own"), "k", F.col("total").alias("own_total"))
+    neighbour = known.select(F.col("node").alias("b"), F.col("c").alias("nc"), "total")
+    links = _join(both.where("a <> b"), neighbour, "b", nodes, hot)
+    links = links.groupBy(F.col("a").alias("node"), "nc").agg(F.sum("w").alias("kin"), F.max("total").alias("total"))
+    options = _join(links, movers, "node", nodes, hot, "inner").drop("own_total")
+    # A node may stay where it has no link; where it has one, that option is the better of the two.
+    stay = movers.select("node", F.col("own").alias("nc"), F.lit(0.0).alias("kin"), F.col("own_total").alias("total"), "own", "k")
     rest = F.col("total") - F.when(F.col("nc") == F.col("own"), F.col("k")).otherwise(0.0)
-    priced = priced.withColumn("gain", F.col("kin") - F.col("k") * rest / (2 * m))
+    priced = options.unionByName(stay).withColumn("gain", F.col("kin") - F.col("k") * rest / (2 * m))
     # The own community wins a tie, then the larger name.
     rank = F.struct(F.round("gain", 9), (F.col("nc") == F.col("own")), F.col("nc"))
-    best = priced.groupBy("node").agg(F.max_by("nc", rank).alias("nc"))
-    return attach(labels, best, "node", right_rows=nodes).select(
-        "node", F.coalesce("nc", "c").alias("c"), F.coalesce(F.col("nc") != F.col("c"), F.lit(False)).alias("moved")
+    moved = priced.groupBy("node", "own", "k").agg(F.max_by("nc", rank).alias("c"))
+    moved = moved.select("node", "c", "k", (F.col("c") != F.col("own")).alias("moved"))
+    out, seen = materialise_with(
+        moved.unionByName(state.where(~half).withColumn("moved", F.lit(False))), n=F.count_if(F.col("moved"))
     )
+    return out.drop("moved"), seen["n"]
 
 
 def louvain(df: DataFrame) -> DataFrame:
@@ -74,22 +96,21 @@ def louvain(df: DataFrame) -> DataFrame:
     membership, best = None, None
     for _ in range(LEVELS):
         both = level_edges.unionByName(level_edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
-        degree, size = materialise_with(both.groupBy(F.col("a").alias("node")).agg(F.sum("w").alias("k")))
-        nodes = size["rows"]
-        labels = degree.select("node", F.col("node").alias("c"))
-        start = modularity(level_edges, labels, nodes)
+        state, size = materialise_with(both.groupBy(F.col("a").alias("node")).agg(
+            F.col("a").alias("c"), F.sum("w").alias("k"), F.count(F.lit(1)).alias("_n")), most=F.max("_n"))
+        nodes, hot = size["rows"], _hot(state, "node", size["most"])
+        state = state.drop("_n")
+        start = modularity(level_edges, state, nodes, hot)
         if membership is None:
-            membership, best = labels, start
-        chosen, value, before = labels, start, start
+            membership, best = state.select("node", "c"), start
+        chosen, value, before = state, start, start
         for turn in range(0, 2 * SWEEPS, 2):
-            moves = 0
-            for half in (turn, turn + 1):
-                labels, seen = materialise_with(_sweep(both, labels, degree, m, half, nodes), n=F.count_if(F.col("moved")))
-                labels, moves = labels.drop("moved"), moves + seen["n"]
-            now = modularity(level_edges, labels, nodes)
+            state, moves = _sweep(both, state, m, turn, nodes, hot)
+            state, more = _sweep(both, state, m, turn + 1, nodes, hot)
+            now = modularity(level_edges, state, nodes, hot)
             if now > value + 1e-9:
-                chosen, value = labels, now
-            if not moves or now < before + TOLERANCE:
+                chosen, value = state, now
+            if not moves + more or now < before + TOLERANCE:
                 break
             before = now
         if value <= start + 1e-9:
@@ -97,8 +118,8 @@ def louvain(df: DataFrame) -> DataFrame:
         best = value
         step = chosen.select(F.col("node").alias("c"), F.col("c").alias("_new"))
         membership = materialise(attach(membership, step, "c", right_rows=nodes).select("node", F.col("_new").alias("c")))
-        ends = attach(level_edges, chosen.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a", right_rows=nodes)
-        ends = attach(ends, chosen.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b", right_rows=nodes)
+        ends = _join(level_edges, chosen.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a", nodes, hot)
+        ends = _join(ends, chosen.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b", nodes, hot)
         level_edges = materialise(
             ends.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"), "w")
             .groupBy("a", "b").agg(F.sum("w").alias("w"))

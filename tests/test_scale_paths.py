@@ -89,3 +89,24 @@ def test_long_sides_are_not_broadcast_in_loops(spark, make_transactions, monkeyp
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     graph = sharing.sharing(df)
     assert not graph.short and rows(graph.degrees()) == rows(sharing.sharing(df).degrees())
+
+
+def test_louvain_sweeps_run_two_jobs_and_spread_hot_nodes(spark, make_transactions, monkeypatch):
+    """Above the broadcast limit a sweep counts no join keys of its own, and salted nodes and communities change no label."""
+    from riskgraph.operators import louvain
+
+    df = make_transactions([(f"a{i:02d}", f"d{(i * 7 + j) % 9}") for i in range(30) for j in (0, i % 4)] + [("x", f"d{i}") for i in range(9)])
+    monkeypatch.setattr(louvain, "SWEEPS", 2)
+    monkeypatch.setattr(louvain, "LEVELS", 1)
+    want = rows(louvain.louvain(df))
+    counted, written, sweeps = [], [], []
+    keys, table, sweep = skew.hot_keys, louvain.materialise_with, louvain._sweep
+    monkeypatch.setattr(skew, "LOOP_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "hot_keys", lambda *a, **o: counted.append(1) or keys(*a, **o))
+    monkeypatch.setattr(louvain, "materialise_with", lambda *a, **o: written.append(1) or table(*a, **o))
+    monkeypatch.setattr(louvain, "_sweep", lambda *a: sweeps.append(1) or sweep(*a))
+    assert rows(louvain.louvain(df)) == want
+    assert len(sweeps) == 4 and len(counted) < len(sweeps)
+    assert len(written) == 1 + louvain.LEVELS + 2 * len(sweeps)
+    monkeypatch.setattr(skew, "HOT_ROWS", 3)
+    assert rows(louvain.louvain(df)) == want
