@@ -200,3 +200,25 @@ def test_training_rows_are_spread_over_tasks(spark, monkeypatch):
     monkeypatch.setattr(training, "ROWS_PER_TASK", 1000)
     training.fit(df, ["a"], training.FOREST, rounds=2)
     assert seen == [12, 2]
+
+
+def _trees_asked(table, monkeypatch):
+    """The trees every fit asks for, in order; one is grown."""
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    from riskgraph.catalog import models
+
+    seen = []
+    monkeypatch.setattr(models, "_KEPT", {})
+    monkeypatch.setattr(models, "matrix", lambda *_: table)
+    monkeypatch.setattr(models, "model_features", lambda _: FEATURES)
+    for learner, name in ((GBTClassifier, "maxIter"), (RandomForestClassifier, "numTrees")):
+        def fit(self, df, plain=learner.fit, name=name):
+            seen.append(self.getOrDefault(name))
+            return plain(self.copy({self.getParam(name): 1}), df)
+        monkeypatch.setattr(learner, "fit", fit)
+    return models, seen
+
+
+def test_cross_validation_grows_a_hundred_trees_a_fold(spark, sf, table, monkeypatch):
+    models, seen = _trees_asked(table, monkeypatch)
+    assert models.ml_cross_validate(spark, sf).count() == 5 and seen == [100] * 5
