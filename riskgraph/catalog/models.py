@@ -54,7 +54,7 @@ def matrix(spark, sf):
 
 def trained(spark, sf):
     df = matrix(spark, sf)
-    return _once(spark, sf, "boosted", lambda: training.train(df, model_features(df), training.BOOSTED, rounds=ROUNDS))
+    return _once(spark, sf, "boosted", lambda: training.train(df, model_features(df), training.BOOSTED))
 
 
 # ---------------------------------------------------------------- training

@@ -222,3 +222,8 @@ def _trees_asked(table, monkeypatch):
 def test_cross_validation_grows_a_hundred_trees_a_fold(spark, sf, table, monkeypatch):
     models, seen = _trees_asked(table, monkeypatch)
     assert models.ml_cross_validate(spark, sf).count() == 5 and seen == [100] * 5
+
+
+def test_the_boosted_model_has_two_hundred_rounds(spark, sf, table, monkeypatch):
+    models, seen = _trees_asked(table, monkeypatch)
+    assert models.ml_boosted_trees(spark, sf).count() == 1 and seen == [200]
